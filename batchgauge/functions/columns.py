@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -47,11 +47,33 @@ def to_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
     """(keep…, column, value) with one row per cell; missing values are NULL rows."""
     cells = df.select(
         *[col(k) for k in keep],
-        *[F.when(~missing(df, c), col(c).cast("double")).alias(c) for c in columns],
+        *[present(df, c).alias(c) for c in columns],
     )
     return cells.unpivot([col(k) for k in keep], [col(c) for c in columns], "column", "value")
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The value as double, NULL where it is missing."""
+    return F.when(~missing(df, name), col(name).cast("double"))
+
+
+def per_column(
+    df: DataFrame, columns: Sequence[str], stats: Mapping[str, Callable[[str], Column]], by: Sequence[str] = ()
+) -> DataFrame:
+    """by…, column and one field per statistic: one wide aggregate, turned long afterwards.
+
+    The rows themselves are not multiplied by the number of columns.
+    """
+    wide = df.groupBy(*[col(b) for b in by]).agg(F.count("*").alias("_n"), *[
+        make(c).alias(f"_{i}_{name}") for i, c in enumerate(columns) for name, make in stats.items()
+    ])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"_{i}_{name}").alias(name) for name in stats])
+        for i, c in enumerate(columns)
+    ])
+    return wide.select(*[col(b) for b in by], F.inline(rows))
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     return numerator / F.nullif(denominator, F.lit(0))
 

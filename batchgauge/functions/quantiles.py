@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from batchgauge.functions.columns import col, per_column, present, to_long
+
 _MERGE_GROUPS = 64
 _BROADCAST_ROWS = 100_000
 
@@ -21,24 +23,24 @@ def default_cells(df: DataFrame) -> int:
     return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def cut_points(long_df: DataFrame, cells: int | None = None) -> dict[str, list[float]]:
-    """Approximate inner quantiles per ``column`` of (column, value).
+def cut_points(df: DataFrame, columns: Sequence[str], cells: int | None = None) -> dict[str, list[float]]:
+    """Approximate inner quantiles of numeric columns; a column without values is left out.
 
     Task sketches meet in 64 reducers first, so that no task merges one sketch per
     input split. Collected: columns x cells numbers, which fixes the cuts for every
     later pass over the data.
     """
-    cells = cells or default_cells(long_df)
-    grid = [i / cells for i in range(1, cells)]
-    parts = (
-        long_df.filter(F.col("value").isNotNull())
-        .groupBy("column", F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("part"))
-        .agg(F.percentile_approx("value", grid, 2 * cells).alias("cut"))
+    cells = cells or default_cells(df)
+    grid = F.array(*[F.lit(i / cells) for i in range(1, cells)])
+    part = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("_part")
+    values = df.select(*[present(df, c).alias(c) for c in columns], part)
+    parts = per_column(
+        values, columns, {"cuts": lambda c: F.percentile_approx(col(c), grid, F.lit(2 * cells))}, ["_part"]
     )
     merged = (
-        parts.select("column", F.explode("cut").alias("cut"))
+        parts.select("column", F.explode("cuts").alias("cut"))
         .groupBy("column")
-        .agg(F.percentile_approx("cut", grid, 2 * cells).alias("cuts"))
+        .agg(F.percentile_approx("cut", grid, F.lit(2 * cells)).alias("cuts"))
     )
     return {row["column"]: sorted(set(row["cuts"])) for row in merged.collect()}
 
@@ -46,17 +48,19 @@ def cut_points(long_df: DataFrame, cells: int | None = None) -> dict[str, list[f
 def cell_of(value: Column, cuts: Column, most: int) -> Column:
     """How many of the ascending ``cuts`` (at most ``most``) are <= value, by binary search."""
     steps = [1 << i for i in reversed(range(max(1, most.bit_length())))]
-    return F.aggregate(
+    found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, step: at + F.when(F.get(cuts, at + step - 1) <= value, step).otherwise(F.lit(0)),
     )
+    # Never NULL: otherwise a join on the cell searches a second time, to test for NULL.
+    return F.coalesce(found, F.lit(0))
 
 
-def _wanted_ranks(probs: Sequence[float], total: Column) -> Column:
+def _wanted_ranks(probs: Column, total: Column) -> Column:
     """The zero-based ranks on both sides of each quantile of ``total`` values."""
-    below = [F.floor(F.lit(float(p)) * (total - 1)).cast("long") for p in probs]
-    return F.array_distinct(F.array(*below, *[F.least(b + 1, total - 1) for b in below]))
+    below = F.transform(probs, lambda p: F.floor(p * (total - 1)).cast("long"))
+    return F.array_distinct(F.concat(below, F.transform(below, lambda r: F.least(r + 1, total - 1))))
 
 
 def _within(ranks: Column, start: Column, count: Column) -> Column:
@@ -64,20 +68,23 @@ def _within(ranks: Column, start: Column, count: Column) -> Column:
 
 
 def exact_quantiles(
-    long_df: DataFrame,
+    df: DataFrame,
+    columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
     by_groups: int = 1,
     cells: int | None = None,
 ) -> DataFrame:
-    """(by…, column, n, quantiles) of (by…, column, value), linearly interpolated.
+    """by…, column, n, quantiles of numeric columns, linearly interpolated, missing values aside.
 
     ``by_groups`` is the known number of ``by`` groups: it bounds the cells that hold
-    a wanted rank, which are broadcast while they stay under 100,000.
+    a wanted rank, which are broadcast while they stay under 100,000. The data are read
+    three times and shuffled never, but for the values in those cells.
     """
-    long_df = long_df.filter(F.col("value").isNotNull())
-    cuts = cut_points(long_df, cells)
-    spark, keys = long_df.sparkSession, [*by, "column"]
+    cuts = cut_points(df, columns, cells)
+    long_df = to_long(df, columns, by).filter(F.col("value").isNotNull())
+    spark, keys = df.sparkSession, [*by, "column"]
+    asked = F.array(*[F.lit(float(p)) for p in probs])
     cut_table = spark.createDataFrame(list(cuts.items()), "column string, cuts array<double>")
     most = max((len(c) for c in cuts.values()), default=1)
     placed = long_df.join(F.broadcast(cut_table), "column").select(
@@ -93,7 +100,7 @@ def exact_quantiles(
             F.sum("n").over(group).alias("total"),
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
         )
-        .filter(F.size(_within(_wanted_ranks(probs, F.col("total")), F.col("before"), F.col("n"))) > 0)
+        .filter(F.size(_within(_wanted_ranks(asked, F.col("total")), F.col("before"), F.col("n"))) > 0)
         .drop("n")
     )
     if 2 * len(probs) * max(1, len(cuts)) * by_groups <= _BROADCAST_ROWS:
@@ -107,7 +114,7 @@ def exact_quantiles(
         placed.join(wanted, [*keys, "cell"])
         .groupBy(*keys, "cell", "value", "total", "before").agg(F.count("*").alias("n"))
         .withColumn("start", start)
-        .withColumn("ranks", _within(_wanted_ranks(probs, F.col("total")), F.col("start"), F.col("n")))
+        .withColumn("ranks", _within(_wanted_ranks(asked, F.col("total")), F.col("start"), F.col("n")))
         .filter(F.size("ranks") > 0)
         .select(*keys, "total", "value", F.explode("ranks").alias("rank"))
     )
@@ -116,27 +123,26 @@ def exact_quantiles(
         F.max("total").alias("n"),
         F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"),
     )
-    return ranked.select(
-        *keys, "n", F.array(*[_interpolate(F.col("at"), F.col("n"), p) for p in probs]).alias("quantiles")
-    )
+    at, n = F.col("at"), F.col("n")
+    return ranked.select(*keys, "n", F.transform(asked, lambda p: _interpolate(at, n, p)).alias("quantiles"))
 
 
-def _interpolate(at: Column, n: Column, p: float) -> Column:
-    place = F.lit(float(p)) * (n - 1)
+def _interpolate(at: Column, n: Column, p: Column) -> Column:
+    place = p * (n - 1)
     below = F.floor(place).cast("long")
-    low, high = at[below], at[F.least(below + 1, n - 1)]
+    low, high = F.element_at(at, below), F.element_at(at, F.least(below + 1, n - 1))
     share = place - below
     # From the nearer end, which keeps the result between low and high.
     return F.when(share < 0.5, low + (high - low) * share).otherwise(high - (high - low) * (1 - share))
 
 
-def approx_quantiles(long_df: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def approx_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
     """The one-pass sketch version of ``exact_quantiles``; rank error at most 0.01 %."""
-    return (
-        long_df.filter(F.col("value").isNotNull())
-        .groupBy(*by, "column")
-        .agg(
-            F.count("*").alias("n"),
-            F.percentile_approx("value", [float(p) for p in probs], 10_000).alias("quantiles"),
-        )
-    )
+    asked = F.array(*[F.lit(float(p)) for p in probs])
+    found = per_column(df, columns, {
+        "n": lambda c: F.count(present(df, c)),
+        "quantiles": lambda c: F.percentile_approx(present(df, c), asked, F.lit(10_000)),
+    }, by)
+    return found.filter(F.col("n") > 0)

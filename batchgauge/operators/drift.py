@@ -73,9 +73,9 @@ def psi(
     probs = [i / bins for i in range(1, bins)]
     ref_long, cur_long = to_long(reference, columns, ref_by), to_long(current, columns, by)
     if approximate:
-        deciles = approx_quantiles(ref_long, probs, ref_by)
+        deciles = approx_quantiles(reference, columns, probs, ref_by)
     else:
-        deciles = exact_quantiles(ref_long, probs, ref_by, by_groups)
+        deciles = exact_quantiles(reference, columns, probs, ref_by, by_groups)
     on = [*ref_by, "column"]
     edges = deciles.select(*on, F.array_distinct("quantiles").alias("edges"))
     # Collected: bins - 1 numbers per column and group. Both histograms then use the same

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from batchgauge.config import CheckSpec, ColumnSpec
 from batchgauge.errors import QualityError, ValidationError
-from batchgauge.functions.columns import col, missing, outside, to_long
+from batchgauge.functions.columns import col, missing, outside, per_column, present
 
 _ERRORS = {"ValidationError": ValidationError, "QualityError": QualityError}
 
@@ -132,25 +132,15 @@ def check_output(df: DataFrame, columns: ColumnSpec, checks: CheckSpec) -> None:
 
 def feature_null_report(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """by…, column, null_pct per feature, missing cells over rows."""
-    return (
-        _missing_long(df, features, by)
-        .groupBy(*by, "column")
-        .agg((F.avg("missing") * 100).alias("null_pct"))
-    )
-
-
-def _missing_long(df: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
-    flags = df.select(*[col(b) for b in by], *[missing(df, c).cast("int").alias(c) for c in names])
-    return flags.unpivot([col(b) for b in by], [col(c) for c in names], "column", "missing")
+    share = {"null_pct": lambda c: F.avg(missing(df, c).cast("int")) * 100}
+    return per_column(df, features, share, by)
 
 
 def output_stats(df: DataFrame, outputs: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """by…, column, min, max, mean and null_count per output column."""
-    return (
-        to_long(df, outputs, by)
-        .groupBy(*by, "column")
-        .agg(
-            F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"),
-            F.count_if(F.col("value").isNull()).alias("null_count"),
-        )
-    )
+    return per_column(df, outputs, {
+        "min": lambda c: F.min(present(df, c)),
+        "max": lambda c: F.max(present(df, c)),
+        "mean": lambda c: F.avg(present(df, c)),
+        "null_count": lambda c: F.count_if(missing(df, c)),
+    }, by)

@@ -135,8 +135,7 @@ def ranked_metrics(
 
     Scores are counted per distinct value, then ordered inside cells between
     approximate quantiles, and each cell is lifted by the totals of the cells below.
-    No task sorts more than one cell, and ties (any number of them) are one row. ``by``
-    columns must not be NULL.
+    No task sorts more than one cell, and ties (any number of them) are one row.
     """
     t, s = col(y_true), col(score).cast("double")
     points = df.select(
@@ -146,34 +145,40 @@ def ranked_metrics(
         F.when(t == F.lit(negative), 1).otherwise(0).alias("neg"),
         missing(df, score).alias("unscored"),
     )
-    cuts = cut_points(points.select(F.lit("score").alias("column"), "value")).get("score", [])
+    cuts = cut_points(points, ["value"]).get("value", [])
     cell = cell_of(F.col("value"), F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), len(cuts))
-    tied = points.groupBy(*by, F.coalesce(cell, F.lit(0)).alias("cell"), "value").agg(
+    points = points.withColumn("cell", cell)
+    tied = points.groupBy(*by, "cell", "value").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
         F.count_if(F.col("unscored") & (F.col("pos") + F.col("neg") == 1)).alias("bad"),
         F.count_if(F.col("pos") + F.col("neg") == 0).alias("other"),
     )
-    in_cell = Window.partitionBy(*by, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = tied.select(
-        *by, "cell", "pos", "neg", "bad", "other",
-        F.sum("pos").over(in_cell).alias("pos_here"), F.sum("neg").over(in_cell).alias("neg_here"),
-    )
     group = Window.partitionBy(*(by or [F.lit(0)]))
     below = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = tied.groupBy(*by, "cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
-        *by, "cell",
-        F.coalesce(F.sum("p").over(below), F.lit(0)).alias("pos_below"),
-        F.coalesce(F.sum("n").over(below), F.lit(0)).alias("neg_below"),
+    # From the points again: a second scan, but its counts combine before they are shuffled.
+    lifts = points.groupBy(*by, "cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        *by, "cell", F.lit(0).alias("point"),
+        F.coalesce(F.sum("p").over(below), F.lit(0)).alias("pos"),
+        F.coalesce(F.sum("n").over(below), F.lit(0)).alias("neg"),
         F.sum("p").over(group).alias("all_pos"), F.sum("n").over(group).alias("all_neg"),
     )
-    pos_all, neg_all = F.nullif(F.col("all_pos"), F.lit(0)), F.nullif(F.col("all_neg"), F.lit(0))
-    neg_before = F.col("neg_below") + F.col("neg_here") - F.col("neg")
-    gap = (F.col("pos_below") + F.col("pos_here")) / pos_all - (F.col("neg_below") + F.col("neg_here")) / neg_all
-    out = ordered.join(cells, [*by, "cell"]).groupBy(*by).agg(
-        F.sum(F.col("pos") / pos_all * ((neg_before + F.col("neg") / 2) / neg_all)).alias("auc"),
-        F.max(F.abs(gap)).alias("gap"),
-        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
-        F.coalesce(F.sum("other"), F.lit(0)).alias("other"),
+    # The first row of a cell brings what lies below it, so the running sums need no join.
+    in_cell = Window.partitionBy(*by, "cell").orderBy("point", "value").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = (
+        tied.withColumn("point", F.lit(1)).unionByName(lifts, allowMissingColumns=True)
+        .withColumns({
+            "pos_upto": F.sum("pos").over(in_cell), "neg_upto": F.sum("neg").over(in_cell),
+            "pos_all": F.nullif(F.first("all_pos").over(in_cell), F.lit(0)),
+            "neg_all": F.nullif(F.first("all_neg").over(in_cell), F.lit(0)),
+        })
+        .filter(F.col("point") == 1)
+    )
+    neg_before = F.col("neg_upto") - F.col("neg")
+    share = F.col("pos") / F.col("pos_all") * ((neg_before + F.col("neg") / 2) / F.col("neg_all"))
+    gap = F.col("pos_upto") / F.col("pos_all") - F.col("neg_upto") / F.col("neg_all")
+    out = ordered.groupBy(*by).agg(
+        F.sum(share).alias("auc"), F.max(F.abs(gap)).alias("gap"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("other"), F.lit(0)).alias("other"),
     )
     auc = F.when((F.col("bad") == 0) & (F.col("other") == 0), F.col("auc"))
     # Without one of the classes the gap is 0; a missing score of either class makes it NULL.

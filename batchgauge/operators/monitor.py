@@ -21,7 +21,7 @@ def last_success(run_log: DataFrame) -> DataFrame:
     return (
         run_log.filter(F.col("status") == "success")
         .groupBy("project_id", "run_date")
-        .agg(F.max_by("row_count", "created_at").alias("row_count"))
+        .agg(F.max(F.struct("created_at", "row_count"))["row_count"].alias("row_count"))
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from batchgauge.functions.columns import (
-    col, hash_normal, hash_uniform, logistic, missing, standardise, to_long, unit_interval,
+    col, hash_normal, hash_uniform, logistic, missing, per_column, present, standardise, unit_interval,
 )
 from batchgauge.functions.quantiles import exact_quantiles
 
@@ -24,7 +24,7 @@ ROW_SHARE = 0.8
 
 def fit_quantile(df: DataFrame, columns: Sequence[str], p: float) -> dict[str, float]:
     """column -> exact quantile. Collected: one number per column."""
-    rows = exact_quantiles(to_long(df, columns), [p]).collect()
+    rows = exact_quantiles(df, columns, [p]).collect()
     return {r["column"]: r["quantiles"][0] for r in rows}
 
 
@@ -42,8 +42,10 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fit_min_max(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """column -> (min, max) of what is not missing. Collected: two numbers per column."""
-    cells = to_long(df, columns).groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    return {r["column"]: (r["low"], r["high"]) for r in cells.collect()}
+    ends = per_column(df, columns, {
+        "low": lambda c: F.min(present(df, c)), "high": lambda c: F.max(present(df, c)),
+    })
+    return {r["column"]: (r["low"], r["high"]) for r in ends.collect()}
 
 
 def scale_min_max(df: DataFrame, fitted: Mapping[str, tuple[float, float]]) -> DataFrame:
@@ -58,8 +60,10 @@ def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """column -> (mean, population standard deviation). Collected: two numbers per column."""
-    cells = to_long(df, columns).groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    return {r["column"]: (r["mean"], r["std"]) for r in cells.collect()}
+    moments = per_column(df, columns, {
+        "mean": lambda c: F.avg(present(df, c)), "std": lambda c: F.stddev_pop(present(df, c)),
+    })
+    return {r["column"]: (r["mean"], r["std"]) for r in moments.collect()}
 
 
 def apply_scaler(df: DataFrame, fitted: Mapping[str, tuple[float, float]]) -> DataFrame:

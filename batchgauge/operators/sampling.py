@@ -15,6 +15,7 @@ from batchgauge.functions.columns import col, hash_hex
 
 _PREFIX = 3  # hex digits: 4,096 prefixes per stratum
 _CHUNK = 100_000
+_BROADCAST_STRATA = 10_000
 
 
 def _first_by_hash(
@@ -45,7 +46,11 @@ def _first_by_hash(
         # One row per stratum: the prefix that holds the last wanted row.
         .select("_stratum", F.col("_prefix").alias("_edge"), (F.col("_wanted") - F.col("_below")).alias("_need"))
     )
-    placed = marked.join(F.broadcast(edge), "_stratum", "left")
+    # Collected: one row per stratum, and no more than fit the check of the broadcast.
+    found = edge.limit(_BROADCAST_STRATA + 1).collect()
+    if len(found) <= _BROADCAST_STRATA:
+        edge = F.broadcast(df.sparkSession.createDataFrame(found, edge.schema))
+    placed = marked.join(edge, "_stratum", "left")
     at_edge = F.coalesce(F.col("_prefix") == F.col("_edge"), F.lit(False))
     inner = F.coalesce(F.col("_prefix") < F.col("_edge"), F.lit(False))
     decided = placed.filter(~at_edge).select(*names, inner.alias("_chosen"))

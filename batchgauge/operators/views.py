@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from batchgauge.functions.columns import col, to_long
+from batchgauge.functions.columns import col, per_column, present, to_long
+
+_SMALL_LIMIT = 1_000
 
 
 def project_list(registry: DataFrame) -> DataFrame:
@@ -43,10 +45,11 @@ def predictions_of(result: DataFrame, run_date, ids: Sequence[str], limit: int =
 
 def latest_run(run_log: DataFrame, by_creation: bool = False) -> DataFrame:
     """The newest run of every project: by date then creation time, or by creation time alone."""
-    newest = F.col("created_at") if by_creation else F.struct("run_date", "created_at")
+    first = ["created_at"] if by_creation else ["run_date", "created_at"]
     rest = [c for c in run_log.columns if c != "project_id"]
-    picked = run_log.groupBy("project_id").agg(F.max_by(F.struct(*rest), newest).alias("row"))
-    return picked.select("project_id", "row.*")
+    order = [*first, *[c for c in rest if c not in first]]
+    picked = run_log.groupBy("project_id").agg(F.max(F.struct(*order)).alias("row"))
+    return picked.select("project_id", *[F.col("row").getField(c).alias(c) for c in rest])
 
 
 def latest_checks(monitoring_log: DataFrame) -> DataFrame:
@@ -74,7 +77,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     shuffle. What goes to every task is one row per column.
     """
     cells = to_long(df, columns).filter(F.col("value").isNotNull())
-    bounds = cells.groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    bounds = per_column(df, columns, {
+        "low": lambda c: F.min(present(df, c)), "high": lambda c: F.max(present(df, c)),
+    }).filter(F.col("low").isNotNull())
     # A constant column gets a small range around its value, as a plot would.
     pad = F.when(F.col("low") == 0, F.lit(0.001)).otherwise(F.abs("low") * 0.001)
     flat = F.col("low") == F.col("high")
@@ -103,5 +108,14 @@ def top_rows(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
 
 
 def first_rows(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
-    """The first n rows by key: a LIMIT that gives the same rows every time."""
-    return df.orderBy(*[col(k) for k in keys]).limit(n)
+    """The first n rows by key: a LIMIT that gives the same rows every time.
+
+    A top-k sends k rows of every task to one task. For a large n the tasks' rows meet
+    in 64 groups first, each of which passes n rows on.
+    """
+    order = [col(k) for k in keys]
+    if n > _SMALL_LIMIT:
+        part = Window.partitionBy("_part").orderBy(*order)
+        marked = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(64)))
+        df = marked.withColumn("_row", F.row_number().over(part)).filter(F.col("_row") <= n).drop("_part", "_row")
+    return df.orderBy(*order).limit(n)

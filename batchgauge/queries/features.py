@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from batchgauge.functions.columns import indicator, log_floor, run_date_range, safe_ratio
+from batchgauge.functions.quantiles import exact_quantiles
 from batchgauge.operators import metrics, prep, sampling, views
 from batchgauge.queries.registry import query, rounded, table
 
@@ -64,13 +65,10 @@ WITH cells AS (SELECT 'quantity' AS "column", l_quantity AS value FROM lineitem
 SELECT "column", count(*) AS n, round(quantile_cont(value, 0.05), 6) AS q05, round(quantile_cont(value, 0.5), 6) AS q50,
        round(quantile_cont(value, 0.95), 6) AS q95 FROM cells GROUP BY "column" """)
 def fe_quantiles(spark, sf_dir):
-    from batchgauge.functions.columns import to_long
-    from batchgauge.functions.quantiles import exact_quantiles
-
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"), F.col("l_tax").alias("tax")
     )
-    q = exact_quantiles(to_long(lines, lines.columns), [0.05, 0.5, 0.95])
+    q = exact_quantiles(lines, lines.columns, [0.05, 0.5, 0.95])
     return q.select("column", "n", *[
         F.round(F.col("quantiles")[i], 6).alias(name) for i, name in enumerate(["q05", "q50", "q95"])
     ])
