@@ -8,12 +8,13 @@ cuts decide how evenly work is spread, never what comes out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from batchgauge.functions.columns import col, per_column, present, to_long
+from batchgauge.functions.columns import col, per_column, present
 
+_CELL = " cell"
 _MERGE_GROUPS = 64
 _BROADCAST_ROWS = 100_000
 
@@ -23,6 +24,13 @@ def default_cells(df: DataFrame) -> int:
     return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def double_array(values: Sequence[float]) -> Column:
+    """A constant array<double> as one literal, however long."""
+    if not values:
+        return F.array().cast("array<double>")
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
 def cut_points(df: DataFrame, columns: Sequence[str], cells: int | None = None) -> dict[str, list[float]]:
     """Approximate inner quantiles of numeric columns; a column without values is left out.
 
@@ -31,7 +39,7 @@ def cut_points(df: DataFrame, columns: Sequence[str], cells: int | None = None)
     later pass over the data.
     """
     cells = cells or default_cells(df)
-    grid = F.array(*[F.lit(i / cells) for i in range(1, cells)])
+    grid = double_array([i / cells for i in range(1, cells)])
     part = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("_part")
     values = df.select(*[present(df, c).alias(c) for c in columns], part)
     parts = per_column(
@@ -45,16 +53,24 @@ def cut_points(df: DataFrame, columns: Sequence[str], cells: int | None = None)
     return {row["column"]: sorted(set(row["cuts"])) for row in merged.collect()}
 
 
-def cell_of(value: Column, cuts: Column, most: int) -> Column:
-    """How many of the ascending ``cuts`` (at most ``most``) are <= value, by binary search."""
-    steps = [1 << i for i in reversed(range(max(1, most.bit_length())))]
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: at + F.when(F.get(cuts, at + step - 1) <= value, step).otherwise(F.lit(0)),
-    )
-    # Never NULL: otherwise a join on the cell searches a second time, to test for NULL.
-    return F.coalesce(found, F.lit(0))
+def with_cells(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str) -> DataFrame:
+    """df plus ``<column><suffix>``: how many of the column's ascending cuts are <= its value.
+
+    A binary search, one projection per halving: all of it stays in generated code, where
+    a lambda, or a join that brings the cuts to each row, would not.
+    """
+    arrays = {c: double_array(v) for c, v in cuts.items()}
+    df = df.withColumns({c + suffix: F.lit(0) for c in cuts})
+    longest = max((len(v) for v in cuts.values()), default=0)
+    for step in (1 << i for i in reversed(range(longest.bit_length()))):
+        moves = {}
+        for c, v in cuts.items():
+            if len(v) >= step:
+                at = col(c + suffix)
+                ahead = F.get(arrays[c], at + (step - 1)) <= col(c)
+                moves[c + suffix] = F.when(ahead, at + step).otherwise(at)
+        df = df.withColumns(moves)
+    return df
 
 
 def _wanted_ranks(probs: Column, total: Column) -> Column:
@@ -82,13 +98,16 @@ def exact_quantiles(
     three times and shuffled never, but for the values in those cells.
     """
     cuts = cut_points(df, columns, cells)
-    long_df = to_long(df, columns, by).filter(F.col("value").isNotNull())
-    spark, keys = df.sparkSession, [*by, "column"]
+    keys = [*by, "column"]
     asked = F.array(*[F.lit(float(p)) for p in probs])
-    cut_table = spark.createDataFrame(list(cuts.items()), "column string, cuts array<double>")
-    most = max((len(c) for c in cuts.values()), default=1)
-    placed = long_df.join(F.broadcast(cut_table), "column").select(
-        *keys, "value", cell_of(F.col("value"), F.col("cuts"), most).alias("cell")
+    found = [c for c in columns if c in cuts]
+    values = df.select(*[col(b) for b in by], *[present(df, c).alias(c) for c in found])
+    placed = (
+        with_cells(values, {c: cuts[c] for c in found}, _CELL)
+        .select(*[col(b) for b in by], F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), col(c + _CELL).alias("cell"), col(c).alias("value")) for c in found
+        ] or [F.lit(None).cast("struct<column: string, cell: int, value: double>")])))
+        .filter(F.col("value").isNotNull())
     )
 
     group = Window.partitionBy(*keys)

@@ -147,6 +147,7 @@ def backfill(
         return _finish(spark, store, project, verdicts, {}, started)
     scored = scored_batch(in_range, scorer, project.schema, col(day)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        store.ensure_result_table(project, scored.schema)
         # Collected: one row per calendar day.
         outcome = gate_outcomes(in_range, scored, project, days).collect()
         verdicts = [(r["run_date"], r["n_rows"], r["message"]) for r in outcome]
