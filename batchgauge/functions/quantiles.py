@@ -8,13 +8,12 @@ cuts decide how evenly work is spread, never what comes out.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from batchgauge.functions.columns import col, per_column, present
 
-_CELL = " cell"
 _MERGE_GROUPS = 64
 _BROADCAST_ROWS = 100_000
 
@@ -53,23 +52,25 @@ def cut_points(df: DataFrame, columns: Sequence[str], cells: int | None = None)
     return {row["column"]: sorted(set(row["cuts"])) for row in merged.collect()}
 
 
-def with_cells(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str) -> DataFrame:
-    """df plus ``<column><suffix>``: how many of the column's ascending cuts are <= its value.
+def exploded(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """by…, idx, value: one row per cell, ``idx`` being the place of its column."""
+    values = F.array(*[present(df, c) for c in columns])
+    return df.select(*[col(b) for b in by], F.posexplode(values).alias("idx", "value"))
+
+
+def with_cell(df: DataFrame, cuts: Sequence[Sequence[float]], idx: Column) -> DataFrame:
+    """df plus ``cell``: how many of the ascending cuts of column ``idx`` are <= ``value``.
 
     A binary search, one projection per halving: all of it stays in generated code, where
     a lambda, or a join that brings the cuts to each row, would not.
     """
-    arrays = {c: double_array(v) for c, v in cuts.items()}
-    df = df.withColumns({c + suffix: F.lit(0) for c in cuts})
-    longest = max((len(v) for v in cuts.values()), default=0)
+    arrays = F.get(F.array(*[double_array(c) for c in cuts]), idx)
+    df = df.withColumn("cell", F.lit(0))
+    at = F.col("cell")
+    longest = max((len(c) for c in cuts), default=0)
     for step in (1 << i for i in reversed(range(longest.bit_length()))):
-        moves = {}
-        for c, v in cuts.items():
-            if len(v) >= step:
-                at = col(c + suffix)
-                ahead = F.get(arrays[c], at + (step - 1)) <= col(c)
-                moves[c + suffix] = F.when(ahead, at + step).otherwise(at)
-        df = df.withColumns(moves)
+        ahead = F.get(arrays, at + (step - 1)) <= F.col("value")
+        df = df.withColumn("cell", F.when(ahead, at + step).otherwise(at))
     return df
 
 
@@ -91,24 +92,19 @@ def exact_quantiles(
     by_groups: int = 1,
     cells: int | None = None,
 ) -> DataFrame:
-    """by…, column, n, quantiles of numeric columns, linearly interpolated, missing values aside.
+    """by…, column, n, quantiles, below of numeric columns; missing values aside.
 
+    Quantiles are linearly interpolated; ``below`` counts the values smaller than each.
     ``by_groups`` is the known number of ``by`` groups: it bounds the cells that hold
     a wanted rank, which are broadcast while they stay under 100,000. The data are read
     three times and shuffled never, but for the values in those cells.
     """
-    cuts = cut_points(df, columns, cells)
-    keys = [*by, "column"]
-    asked = F.array(*[F.lit(float(p)) for p in probs])
-    found = [c for c in columns if c in cuts]
-    values = df.select(*[col(b) for b in by], *[present(df, c).alias(c) for c in found])
-    placed = (
-        with_cells(values, {c: cuts[c] for c in found}, _CELL)
-        .select(*[col(b) for b in by], F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), col(c + _CELL).alias("cell"), col(c).alias("value")) for c in found
-        ] or [F.lit(None).cast("struct<column: string, cell: int, value: double>")])))
-        .filter(F.col("value").isNotNull())
-    )
+    columns = list(columns)
+    found = cut_points(df, columns, cells)
+    asked = double_array(probs)
+    keys = [*by, "idx"]
+    values = exploded(df, columns, by).filter(F.col("value").isNotNull())
+    placed = with_cell(values, [found.get(c, []) for c in columns], F.col("idx"))
 
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,7 +118,7 @@ def exact_quantiles(
         .filter(F.size(_within(_wanted_ranks(asked, F.col("total")), F.col("before"), F.col("n"))) > 0)
         .drop("n")
     )
-    if 2 * len(probs) * max(1, len(cuts)) * by_groups <= _BROADCAST_ROWS:
+    if 2 * len(probs) * len(columns) * by_groups <= _BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
     in_cell = Window.partitionBy(*keys, "cell").orderBy("value")
@@ -135,24 +131,35 @@ def exact_quantiles(
         .withColumn("start", start)
         .withColumn("ranks", _within(_wanted_ranks(asked, F.col("total")), F.col("start"), F.col("n")))
         .filter(F.size("ranks") > 0)
-        .select(*keys, "total", "value", F.explode("ranks").alias("rank"))
+        .select(*keys, "total", F.explode("ranks").alias("rank"), F.struct("value", "start").alias("found"))
     )
     # At most two values per asked quantile come together here.
     ranked = picked.groupBy(*keys).agg(
         F.max("total").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"),
+        F.map_from_entries(F.collect_list(F.struct("rank", "found"))).alias("at"),
     )
     at, n = F.col("at"), F.col("n")
-    return ranked.select(*keys, "n", F.transform(asked, lambda p: _interpolate(at, n, p)).alias("quantiles"))
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("idx"))
+    points = ranked.select(
+        *[col(b) for b in by], name.alias("column"), "n",
+        F.transform(asked, lambda p: _interpolate(at, n, p)).alias("points"),
+    )
+    return points.select(
+        *[col(b) for b in by], "column", "n",
+        F.col("points.value").alias("quantiles"), F.col("points.below").alias("below"),
+    )
 
 
 def _interpolate(at: Column, n: Column, p: Column) -> Column:
+    """The quantile between two neighbouring values, and how many values lie below it."""
     place = p * (n - 1)
-    below = F.floor(place).cast("long")
-    low, high = F.element_at(at, below), F.element_at(at, F.least(below + 1, n - 1))
-    share = place - below
+    rank = F.floor(place).cast("long")
+    low, high = F.element_at(at, rank), F.element_at(at, F.least(rank + 1, n - 1))
+    share, gap = place - rank, high["value"] - low["value"]
     # From the nearer end, which keeps the result between low and high.
-    return F.when(share < 0.5, low + (high - low) * share).otherwise(high - (high - low) * (1 - share))
+    value = F.when(share < 0.5, low["value"] + gap * share).otherwise(high["value"] - gap * (1 - share))
+    below = F.when(value <= low["value"], low["start"]).otherwise(high["start"])
+    return F.struct(value.alias("value"), below.alias("below"))
 
 
 def approx_quantiles(

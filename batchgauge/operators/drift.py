@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from batchgauge.config import DriftSpec
-from batchgauge.functions.columns import col, is_numeric, to_long
-from batchgauge.functions.quantiles import approx_quantiles, exact_quantiles
+from batchgauge.functions.columns import col, is_numeric
+from batchgauge.functions.quantiles import approx_quantiles, exact_quantiles, exploded
 
 # Bins per column, and what is added to every share.
 BINS = 10
@@ -24,33 +24,78 @@ def comparable_columns(current: DataFrame, reference: DataFrame, columns: Sequen
     ]
 
 
-def _histogram(long_df: DataFrame, edges: DataFrame, keys: Sequence[str], on: Sequence[str], bins: int):
-    """keys…, total, counts (bin -> rows); empty bins are absent, missing values uncounted."""
+def _reference_bins(
+    reference: DataFrame, columns: Sequence[str], by: Sequence[str], by_groups: int, bins: int, approximate: bool
+) -> DataFrame:
+    """by…, column, edges, ref (rows per bin), ref_n as a local table.
+
+    Collected: about 2 x bins numbers per column and group. With exact deciles the counts
+    per bin follow from the ranks, so the reference is not read once more.
+    """
+    probs = [i / bins for i in range(1, bins)]
+    if not approximate:
+        found = exact_quantiles(reference, columns, probs, by, by_groups).collect()
+        rows = [(*[r[b] for b in by], r["column"], *_bins(r["quantiles"], r["below"], r["n"])) for r in found]
+    else:
+        found = approx_quantiles(reference, columns, probs, by).collect()
+        edges = {(*[r[b] for b in by], r["column"]): sorted(set(r["quantiles"])) for r in found}
+        table = _local(reference, by, [(*k, e, [0] * (len(e) + 1), 0) for k, e in edges.items()])
+        counts = _bin_counts(reference, columns, by, by, table, bins).collect()
+        rows = []
+        for r in counts:
+            key = (*[r[b] for b in by], r["column"])
+            if key in edges:
+                rows.append((*key, edges[key], r["cur"][: len(edges[key]) + 1], sum(r["cur"])))
+    return _local(reference, by, rows)
+
+
+def _bins(quantiles: Sequence[float], below: Sequence[int], n: int) -> tuple[list[float], list[int], int]:
+    """Distinct inner edges and the rows in each of the bins they make."""
+    counted = dict(zip(quantiles, below))
+    edges = sorted(counted)
+    starts = [0, *[counted[e] for e in edges], n]
+    return edges, [b - a for a, b in zip(starts, starts[1:])], n
+
+
+def _local(df: DataFrame, by: Sequence[str], rows: list[tuple]) -> DataFrame:
+    tail = T.StructType.fromDDL("column string, edges array<double>, ref array<long>, ref_n long")
+    return df.sparkSession.createDataFrame(rows, T.StructType([*[df.schema[b] for b in by], *tail.fields]))
+
+
+def _bin_counts(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], on: Sequence[str], table: DataFrame, bins: int
+) -> DataFrame:
+    """by…, column, cur (rows per bin), and the table's fields: one shuffle of a row per group and task.
+
+    ``table`` has one short row per column and group of ``on``, so it goes to every task.
+    """
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("idx")).alias("column")
+    cells = exploded(df, columns, by).select(*[col(b) for b in by], name, "value")
     value, cuts = F.col("value"), F.col("edges")
-    at = sum((F.when(F.get(cuts, F.lit(i)) <= value, 1).otherwise(0) for i in range(1, bins - 1)),
-             F.when(F.get(cuts, F.lit(0)) <= value, 1).otherwise(0))
-    per_bin = (
-        long_df.join(F.broadcast(edges), list(on), "left")
-        .groupBy(*keys, F.when(value.isNotNull() & cuts.isNotNull(), at).alias("bin"))
-        .agg(F.count("value").alias("n"))
+    passed = [F.when(F.get(cuts, F.lit(i)) <= value, 1).otherwise(0) for i in range(bins - 1)]
+    place = F.when(value.isNotNull() & cuts.isNotNull(), sum(passed[1:], passed[0]))
+    keys = [*on, "column"]
+    counts = (
+        cells.join(F.broadcast(table.select(*keys, "edges")), keys, "left")
+        .groupBy(*by, "column", place.alias("bin")).agg(F.count("*").alias("n"))
     )
-    kept = F.col("bin").isNotNull()
-    return per_bin.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(kept, F.col("n"))), F.lit(0)).alias("total"),
-        F.map_from_entries(F.collect_list(F.when(kept, F.struct("bin", "n")))).alias("counts"),
+    per_bin = [F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)) for i in range(bins)]
+    return counts.groupBy(*by, "column").agg(F.array(*per_bin).alias("cur")).join(
+        F.broadcast(table), keys, "left"
     )
 
 
-def _psi(edges: Column, ref: Column, ref_n: Column, cur: Column, cur_n: Column, eps: float) -> Column:
+def _psi(cur: Column, ref: Column, ref_n: Column, eps: float) -> Column:
     """Sum over the bins that the distinct inner edges make; empty bins count on both sides."""
-    def share(counts: Column, total: Column, i: Column) -> Column:
-        return F.coalesce(F.element_at(counts, i), F.lit(0)) / total + F.lit(eps)
+    cur_n = F.aggregate(cur, F.lit(0).cast("long"), lambda acc, n: acc + n)
 
-    def term(i: Column) -> Column:
-        r, c = share(ref, ref_n, i), share(cur, cur_n, i)
+    def term(r_count: Column, c_count: Column) -> Column:
+        r, c = r_count / ref_n + F.lit(eps), c_count / cur_n + F.lit(eps)
         return (c - r) * F.ln(c / r)
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(edges)), F.lit(0.0), lambda acc, i: acc + term(i))
+    terms = F.zip_with(ref, F.slice(cur, 1, F.size(ref)), term)
+    total = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+    return F.when((ref_n > 0) & (cur_n > 0), total).otherwise(F.lit(0.0))
 
 
 def psi(
@@ -66,36 +111,19 @@ def psi(
 
     ``by`` columns split the current batch, and the reference too where it has them;
     ``by_groups`` is their known number. Bins come from exact reference deciles, or
-    from a one-pass sketch with ``approximate``.
+    from a one-pass sketch with ``approximate``. The reference is read three times, the
+    current batch once; a reference that is not a stored table may be worth a persist.
     """
     columns = list(columns)
     ref_by = [b for b in by if b in reference.columns]
-    probs = [i / bins for i in range(1, bins)]
-    ref_long, cur_long = to_long(reference, columns, ref_by), to_long(current, columns, by)
-    if approximate:
-        deciles = approx_quantiles(reference, columns, probs, ref_by)
-    else:
-        deciles = exact_quantiles(reference, columns, probs, ref_by, by_groups)
-    on = [*ref_by, "column"]
-    edges = deciles.select(*on, F.array_distinct("quantiles").alias("edges"))
-    # Collected: bins - 1 numbers per column and group. Both histograms then use the same
-    # edges, found once, and the table of them is small enough to go to every task.
-    edges = current.sparkSession.createDataFrame(edges.collect(), edges.schema)
-    ref = _histogram(ref_long, edges, on, on, bins)
-    cur = _histogram(cur_long, edges, [*by, "column"], on, bins)
-    # One row per column and date from here on.
-    sides = (
-        cur.withColumnsRenamed({"total": "cur_n", "counts": "cur"})
-        .join(ref.withColumnsRenamed({"total": "ref_n", "counts": "ref"}), on, "left")
-        .join(edges, on, "left")
-    )
+    table = _reference_bins(reference, columns, ref_by, by_groups, bins, approximate)
+    sides = _bin_counts(current, columns, by, ref_by, table, bins)
     if not by:
         # A batch without any row still has one result per column.
         names = current.sparkSession.createDataFrame([(c,) for c in columns], "column string")
         sides = names.join(sides, "column", "left")
-    value = _psi(F.col("edges"), F.col("ref"), F.col("ref_n"), F.col("cur"), F.col("cur_n"), EPSILON)
-    both = (F.col("ref_n") > 0) & (F.col("cur_n") > 0)
-    return sides.select(*[col(b) for b in by], "column", F.when(both, value).otherwise(F.lit(0.0)).alias("psi"))
+    value = _psi(F.col("cur"), F.col("ref"), F.col("ref_n"), EPSILON)
+    return sides.select(*[col(b) for b in by], "column", value.alias("psi"))
 
 
 def severity(value: Column, warn: float = 0.10, critical: float = 0.25) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from batchgauge.config import LOWER_IS_BETTER, EvalSpec
 from batchgauge.functions.columns import col, missing
-from batchgauge.functions.quantiles import cut_points, with_cells
+from batchgauge.functions.quantiles import cut_points, with_cell
 
 _FUSED = ("accuracy", "log_loss", "mse", "rmse", "r2", "mae")
 _CONFUSION = ("f1_macro", "f1_weighted", "precision_macro", "recall_macro")
@@ -22,8 +22,6 @@ _RANKED = ("auc_roc", "ks_statistic", "gini")
 # Fixed value: scores are kept this far from 0 and 1 before the logarithm.
 LOG_LOSS_EPS = 2.220446049250313e-16
 
-_CELL = " cell"
-
 Scores = str | Mapping[object, str]
 
 
@@ -148,7 +146,7 @@ def ranked_metrics(
         missing(df, score).alias("unscored"),
     )
     cuts = cut_points(points, ["value"]).get("value", [])
-    points = with_cells(points, {"value": cuts}, _CELL).withColumnRenamed(f"value{_CELL}", "cell")
+    points = with_cell(points, [cuts], F.lit(0))
     tied = points.groupBy(*by, "cell", "value").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
         F.count_if(F.col("unscored") & (F.col("pos") + F.col("neg") == 1)).alias("bad"),
