@@ -20,7 +20,7 @@ _BROADCAST_ROWS = 100_000
 
 def default_cells(df: DataFrame) -> int:
     """Cells per column: follows the cluster's shuffle width."""
-    return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return min(4096, max(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def double_array(values: Sequence[float]) -> Column:

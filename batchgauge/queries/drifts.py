@@ -80,11 +80,14 @@ def psi_all_features(spark, sf_dir):
     return drift.drift_check(current, reference, names, ON).select("column", "psi", "severity")
 
 
-@query("psi_predictions", f"""WITH {SCORED_SQL}, {_psi_sql(
-    _long_sql(f"scored WHERE run_date < DATE '{SPLIT}'", ["risk", "load"]),
-    _long_sql(f"scored WHERE run_date >= DATE '{SPLIT}'", ["risk", "load"]))}{_GRADED}""")
+# Scores at 9 decimals: equal inputs then tie in every engine, whatever the last bit of its exp().
+@query("psi_predictions", f"""WITH {SCORED_SQL},
+stored AS (SELECT run_date, round(risk, 9) AS risk, round(load, 9) AS load FROM scored), {_psi_sql(
+    _long_sql(f"stored WHERE run_date < DATE '{SPLIT}'", ["risk", "load"]),
+    _long_sql(f"stored WHERE run_date >= DATE '{SPLIT}'", ["risk", "load"]))}{_GRADED}""")
 def psi_predictions(spark, sf_dir):
-    reference, current = _halves(events_scored(spark, sf_dir))
+    stored = events_scored(spark, sf_dir).withColumns(rounded("risk", "load", digits=9))
+    reference, current = _halves(stored)
     return drift.drift_check(current, reference, EVENTS.schema.output_columns, ON).select("column", "psi", "severity")
 
 
