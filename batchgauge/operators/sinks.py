@@ -43,10 +43,30 @@ PROJECT_REGISTRY = T.StructType([
     T.StructField("created_at", T.TimestampType()),
     T.StructField("last_run_at", T.TimestampType()),
 ])
+# What a monitored run adds to the fixed tables: its drift rows and the alerts to send.
+DRIFT_LOG = T.StructType([
+    T.StructField("project_id", T.StringType()),
+    T.StructField("run_date", T.DateType()),
+    T.StructField("column", T.StringType()),
+    T.StructField("psi", T.DoubleType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("message", T.StringType()),
+])
+ALERT_LOG = T.StructType([
+    T.StructField("project_id", T.StringType()),
+    T.StructField("run_date", T.DateType()),
+    T.StructField("channel", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("n_failed", T.LongType()),
+    T.StructField("message", T.StringType()),
+])
+PLATFORM_TABLES = ("run_log", "monitoring_log", "project_registry")
 _LOG_TABLES = {
     "run_log": (RUN_LOG, ["project_id"]),
     "monitoring_log": (MONITORING_LOG, ["project_id"]),
     "project_registry": (PROJECT_REGISTRY, []),
+    "drift_log": (DRIFT_LOG, ["project_id"]),
+    "alert_log": (ALERT_LOG, ["project_id"]),
 }
 
 
@@ -81,8 +101,8 @@ class Store:
             empty.write.mode("append").partitionBy(*partition).parquet(self.path(table))
 
     def ensure_platform_tables(self) -> None:
-        for table, (schema, partition) in _LOG_TABLES.items():
-            self.ensure(table, schema, partition)
+        for table in PLATFORM_TABLES:
+            self.ensure(table, *_LOG_TABLES[table])
 
     def ensure_result_table(self, project: Project, scored: T.StructType) -> T.StructType:
         schema = result_schema(project.schema, scored)

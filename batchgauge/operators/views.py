@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from batchgauge.functions.columns import col, per_column, present, to_long
+from batchgauge.functions.columns import col, is_numeric, per_column, present, to_long
+from batchgauge.functions.quantiles import exact_quantiles
 
 _SMALL_LIMIT = 1_000
 
@@ -110,12 +111,20 @@ def top_rows(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
 def first_rows(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
     """The first n rows by key: a LIMIT that gives the same rows every time.
 
-    A top-k sends k rows of every task to one task. For a large n the tasks' rows meet
-    in 64 groups first, each of which passes n rows on.
+    A top-k sends up to n rows of every task to one task. For a large n, rows beyond the
+    n-th value of a numeric first key are filtered out before, a filter that also reaches
+    the scan; only rows that tie on that value are left over.
     """
-    order = [col(k) for k in keys]
-    if n > _SMALL_LIMIT:
-        part = Window.partitionBy("_part").orderBy(*order)
-        marked = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(64)))
-        df = marked.withColumn("_row", F.row_number().over(part)).filter(F.col("_row") <= n).drop("_part", "_row")
-    return df.orderBy(*order).limit(n)
+    if n > _SMALL_LIMIT and is_numeric(df, keys[0]):
+        df = _not_beyond(df, n, keys[0])
+    return df.orderBy(*[col(k) for k in keys]).limit(n)
+
+
+def _not_beyond(df: DataFrame, n: int, key: str) -> DataFrame:
+    """All rows that can be among the first n by ``key``. Collected: a count and a value."""
+    total = df.agg(F.count(present(df, key))).head()[0]
+    if total <= n + 1:
+        return df
+    bound = exact_quantiles(df, [key], [(n + 1) / total]).head()["quantiles"][0]
+    # NULL keys come first in the order.
+    return df.filter(col(key).isNull() | (col(key) <= F.lit(bound)))

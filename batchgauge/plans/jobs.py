@@ -59,13 +59,14 @@ def after_run(
     store: sinks.Store, project: Project, scored: DataFrame, run_date: date,
     batch: DataFrame | None = None, reference: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the health checks of a date to the monitoring log; report, drift and alert rows.
+    """Write the health checks, alerts and drift of a date to their logs; the same rows by name.
 
     Drift is checked on features and outputs that ``reference`` has.
     """
     report = monitor.monitor_report(scored, store.read("run_log"), project)
     sinks.log_checks(store, report)
     out = {"report": report, "alerts": alerts.alert_messages(report, project.monitoring.alert_channel)}
+    store.append_log("alert_log", out["alerts"])
     if reference is not None:
         spec = project.monitoring.drift
         parts = [drift.drift_check(scored, reference, project.schema.output_columns, spec)]
@@ -75,6 +76,7 @@ def after_run(
         out["drift"] = rows.select(
             F.lit(project.project_id).alias("project_id"), F.lit(run_date).alias("run_date"), *rows.columns
         )
+        store.append_log("drift_log", out["drift"])
         out["immediate"] = alerts.immediate_alerts(report, out["drift"])
     return out
 

@@ -72,6 +72,9 @@ def test_run_with_monitoring_and_drift(spark, store):
     out = jobs.after_run(store, PROJECT, scored, date(2024, 1, 2), days(spark, {2: [9] * 5}), reference)
     assert {(r["column"], r["severity"]) for r in out["drift"].collect()} == {("p", "critical"), ("f", "critical")}
     assert {r["name"] for r in out["immediate"].collect()} == {"p", "f"}
+    assert {(r["column"], r["severity"]) for r in store.read("drift_log").collect()} == {("p", "critical"), ("f", "critical")}
+    (alert,) = [r for r in store.read("alert_log").collect() if r["n_failed"] == 1]
+    assert alert["channel"] == "#c" and "- row_count_change: Row count changed 75.0%" in alert["message"]
 
 
 def test_backfill_isolates_days(spark, store):

@@ -66,4 +66,4 @@ def test_only_values_near_the_ranks_are_shuffled_by_value(spark, samples):
     df = frame(spark, samples)
     plan = quantiles.exact_quantiles(df, ["normal"], [0.5])._jdf.queryExecution().executedPlan().toString()
     # The value grouping sits above the join with the wanted cells.
-    assert "BroadcastHashJoin [column" in plan
+    assert "BroadcastHashJoin [idx" in plan

@@ -68,6 +68,16 @@ def test_first_rows_small_and_large(spark):
     assert views.first_rows(df, 1500, ["k"]).columns == ["k", "v"]
 
 
+def test_first_rows_with_ties_nulls_and_nan(spark):
+    rows = [(None, i) for i in range(500)] + [(float(i // 700), i) for i in range(3000)] + [(float("nan"), i) for i in range(90)]
+    df = spark.createDataFrame(rows, "k double, v int").repartition(7)
+    rank = lambda k: (0, 0.0) if k is None else (2, 0.0) if k != k else (1, k)
+    want = sorted(rows, key=lambda r: (rank(r[0]), r[1]))
+    for n in (1200, 2001, 3550):
+        got = [(r["k"], r["v"]) for r in views.first_rows(df, n, ["k", "v"]).collect()]
+        assert [(rank(k), v) for k, v in got] == [(rank(k), v) for k, v in want[:n]]
+
+
 def test_top_rows_break_ties(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 2.0)], "n string, v double")
     assert [r["n"] for r in views.top_rows(df, "v", 2, "n").collect()] == ["c", "a"]
