@@ -9,7 +9,7 @@ from batchgauge.config import ColumnSpec, SourceSpec
 from batchgauge.functions.columns import indicator, logistic
 from batchgauge.operators import scoring
 from batchgauge.queries.inputs import (
-    BATCH_SQL, EVENTS, FEATURES, RISK_SQL, SCORED_SQL, events_batch, events_scored,
+    BATCH_SQL, FEATURES, RISK_SQL, SCORED_SQL, events_batch, events_scored,
 )
 from batchgauge.queries.registry import query, rounded, table
 from batchgauge.session import scratch_folder

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from batchgauge.config import CheckSpec, OutputSpec
+from batchgauge.config import CheckSpec, EvalSpec, OutputSpec, SourceSpec
 from batchgauge.operators import lookups, monitor, sampling, sinks
 from batchgauge.plans import jobs
 from batchgauge.queries.checks import _MONITOR, _monitor
@@ -150,6 +150,56 @@ def daily_run(spark, sf_dir):
     return _stored(store, LENIENT, events_scored(spark, sf_dir))
 
 
+@query("run_active_projects", f"""WITH {SCORED_SQL},
+day AS (SELECT count(*) AS n, count(*) FILTER (load > 0.1) AS high FROM scored WHERE run_date = DATE '2024-01-12')
+SELECT 'events_lenient' AS project_id, DATE '2024-01-12' AS run_date, 'success' AS status, n AS row_count,
+       CAST(NULL AS VARCHAR) AS error_message FROM day
+UNION ALL
+SELECT 'events_narrow', DATE '2024-01-12', 'failed', 0,
+       printf('Column ''load'' has %d values outside range [0.0, 0.1]', high) FROM day""")
+def run_active_projects(spark, sf_dir):
+    """Each active project reads its own SQL batch; one failing project does not stop the other."""
+    events_batch(spark, sf_dir).createOrReplaceTempView("batchgauge_batch")
+    source = SourceSpec("sql", query="SELECT * FROM batchgauge_batch WHERE run_date = '{run_date}'")
+    limits = CheckSpec(null_output_max_pct=100.0, prediction_range={"load": (0.0, 0.1)})
+    projects = {
+        "events_lenient": replace(LENIENT, project_id="events_lenient", input=source),
+        "events_narrow": replace(
+            LENIENT, project_id="events_narrow", input=source, monitoring=limits, output=OutputSpec("results.narrow")
+        ),
+    }
+    registry = spark.createDataFrame(
+        [(p, "active") for p in projects] + [("_example", "active"), ("events_old", "paused")],
+        "project_id string, status string",
+    )
+    store = _store(spark, "active")
+    jobs.run_active(spark, store, projects, registry, dict.fromkeys(projects, EVENT_SCORER), "2024-01-12")
+    return store.read("run_log").drop("duration_sec", "created_at")
+
+
+@query("preflight_problems", f"""WITH {SCORED_SQL},
+high AS (SELECT count(*) FILTER (load > 1) AS n FROM scored)
+SELECT 'range' AS project, printf('Prediction test failed: Column ''load'' has %d values outside range [0.0, 1.0]', n) AS problem
+FROM high WHERE n > 0
+UNION ALL SELECT 'columns', 'Missing columns in data source: [''no_such_feature'']'
+UNION ALL SELECT 'metrics', 'Thresholds defined for metrics not in metrics list: [''r2'']' """)
+def preflight_problems(spark, sf_dir):
+    """Pre-flight of four project settings over all events; the sound one has no problems."""
+    batch = events_batch(spark, sf_dir)
+    wide = replace(EVENTS.schema, feature_columns=(*EVENTS.schema.feature_columns, "no_such_feature"))
+    projects = {
+        "sound": LENIENT,
+        "range": replace(LENIENT, monitoring=CheckSpec(null_output_max_pct=100.0, prediction_range={"load": (0.0, 1.0)})),
+        "columns": replace(LENIENT, schema=wide),
+        "metrics": replace(LENIENT, evaluation=EvalSpec(("mse",), {"r2": 0.5})),
+    }
+    found = [
+        (name, problem) for name, project in projects.items()
+        for problem in jobs.preflight(spark, project, EVENT_SCORER, "2024-01-30", batch)
+    ]
+    return spark.createDataFrame(found, "project string, problem string")
+
+
 @query("dry_run_stats", f"""WITH {SCORED_SQL},
 cells AS (SELECT 'risk' AS "column", risk AS value FROM scored UNION ALL SELECT 'load', load FROM scored)
 SELECT "column", round(min(value), 6) AS min, round(max(value), 6) AS max, round(avg(value), 6) AS mean,
