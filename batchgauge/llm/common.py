@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from batchgauge.session import scratch_folder
 
@@ -49,8 +49,6 @@ def bounded_sample(df: DataFrame, key: str, stratum: str, per_stratum: int, max_
     h = F.xxhash64(F.lit(17), F.col(key))
     unit = (h.bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / float(1 << 53)
     picked = df.withColumn("_h", h).join(F.broadcast(shares), stratum).filter(unit < F.col("_share"))
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key))
     return picked.withColumn("_rank", rank).filter(F.col("_rank") <= per_stratum).drop("_h", "_share", "_rank")
 
