@@ -1,8 +1,8 @@
 """Text quality by the votes of the nearest labelled documents in a latent-semantic space.
 
 A text's terms are its hashed byte trigrams (log counts, weighted by rarity over all
-documents) and a few terms for its shape: how often words repeat, and the shares of symbols
-and capitals, in steps. A truncated singular value decomposition of the labelled vectors
+documents) and a few terms for its shape: how often words repeat, at once or anywhere, and the shares of
+symbols and capitals, in steps. A truncated singular value decomposition of the labelled vectors
 gives the latent space. Every document is compared with every labelled vector by cosine, in
 blocks, exactly; its score is the mean label of the nearest ones, weighted by similarity.
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ STEPS = 12
 DIMENSIONS = 48
 NEIGHBOURS = 15
 SHARPNESS = 4.0
-SHAPE_WEIGHT = 0.35
+SHAPES = 4
+SHAPE_WEIGHT = 0.6
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>!{}[]=~^_@\\", dtype=np.uint8))
 CAPITALS = np.isin(np.arange(256), np.arange(65, 91))
 LETTERS = np.isin(np.arange(256), np.concatenate((np.arange(65, 91), np.arange(97, 123), np.arange(128, 256))))
@@ -50,13 +52,14 @@ def trigrams(text: bytes) -> np.ndarray:
 
 
 def shape(text: bytes) -> np.ndarray:
-    """Three blocks of soft steps: repeated words, symbols, capitals."""
+    """Four blocks of soft steps: words like the one before, repeated words, symbols, capitals."""
     words = text.split()
     counts = np.bincount(np.frombuffer(text, dtype=np.uint8), minlength=256)
     letters = max(1, int(counts[LETTERS].sum()))
     repeated = (1.0 - len(set(words)) / len(words)) * min(1.0, len(words) / 50.0) if words else 0.0
-    shares = (repeated ** 2, min(1.0, 4.0 * counts[SYMBOLS].sum() / max(1, len(text))), counts[CAPITALS].sum() / letters)
-    out = np.zeros(3 * STEPS, dtype=np.float32)
+    twice = min(1.0, 2.0 * sum(map(eq, words, words[1:])) / max(1, len(words) - 1))
+    shares = (twice, repeated ** 2, min(1.0, 4.0 * counts[SYMBOLS].sum() / max(1, len(text))), counts[CAPITALS].sum() / letters)
+    out = np.zeros(SHAPES * STEPS, dtype=np.float32)
     for k, share in enumerate(shares):
         spot = share * (STEPS - 1)
         low = min(int(spot), STEPS - 2)
@@ -67,7 +70,7 @@ def shape(text: bytes) -> np.ndarray:
 
 def vectors(texts: list[bytes], rarity: np.ndarray) -> np.ndarray:
     """One weighted vector per text, of length 1."""
-    out = np.zeros((len(texts), BUCKETS + 3 * STEPS), dtype=np.float32)
+    out = np.zeros((len(texts), BUCKETS + SHAPES * STEPS), dtype=np.float32)
     for i, text in enumerate(texts):
         out[i, :BUCKETS] = np.log1p(trigrams(text)) * rarity
         out[i, BUCKETS:] = shape(text) * SHAPE_WEIGHT
@@ -122,7 +125,7 @@ def rarity_of(docs: DataFrame) -> np.ndarray:
 
 def fit(sample: list[tuple[bytes, int]], rarity: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
     """The latent space of the labelled texts, by a randomised decomposition with a fixed seed."""
-    width = BUCKETS + 3 * STEPS
+    width = BUCKETS + SHAPES * STEPS
     if not sample:
         return Model(rarity, np.zeros((width, 0), np.float32), np.zeros((0, 0), np.float32), np.zeros(0))
     x = vectors([t for t, _ in sample], rarity)

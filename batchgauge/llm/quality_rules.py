@@ -1,8 +1,8 @@
 """Quality rules, and a likelihood ratio between trusted and raw text. DataFrame functions only.
 
 A document's hashed word unigrams and bigrams are scored by log p(trusted) - log p(raw), the
-two multinomials being counted over the trusted documents and over all documents, and the
-mean over the document's n-grams is its ratio: the same for a long and a short text. A
+two multinomials being counted over the trusted documents and over all documents (without
+the n-gram in question), and the mean over the document's n-grams is its ratio: the same for a long and a short text. A
 document is kept if it passes the base rules and its ratio reaches a fixed threshold; nothing
 is drawn at random.
 
@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from batchgauge.llm.common import small
 
 BUCKETS = 1 << 14
-THRESHOLD = 0.0
+PRIOR = 64
+THRESHOLD = -0.05
 SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -50,11 +51,11 @@ def repeated_spots(s: Column) -> Column:
 
 
 def base_rules(docs: DataFrame, window: int = 8) -> DataFrame:
-    """doc_id, the words (`_w`), the counts of the base rules and base_failed."""
+    """doc_id, the mark `_t`, the words (`_w`), the counts of the base rules and base_failed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
-    out = docs.select("doc_id", "text").select(
-        "doc_id", words().alias("_w"),
+    out = docs.select(
+        "doc_id", "_t", words().alias("_w"),
         F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("_l"),
@@ -84,29 +85,42 @@ def grams(buckets: int, w: str = "_w") -> Column:
     return F.concat(one, two)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """Per bucket log p(trusted) - log p(raw), each count plus one. trusted: a table of doc_id."""
-    marks = trusted.filter("doc_id is not null").select("doc_id").distinct().withColumn("_t", F.lit(1))
+def log_ratios(docs: DataFrame, buckets: int = BUCKETS) -> tuple[list[float], list[float]]:
+    """Per bucket log p(trusted) - log p(raw), for a document outside and for one inside the trusted set.
+
+    docs: the words `_w` and `_t`, 1 for trusted documents. An n-gram is judged by the others of
+    its bucket: its own count is left out on both sides, and PRIOR pseudo n-grams with the
+    corpus' share of trusted text are put in. So an n-gram that no other text has says nothing,
+    and a trusted document is not judged by itself.
+    """
     counted = (
-        docs.select("doc_id", words().alias("_w")).join(small(marks, 24), "doc_id", "left")
-        .select(F.coalesce("_t", F.lit(0)).alias("t"), F.explode(grams(buckets)).alias("bucket"))
-        .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("good")).collect()
+        docs.select("_t", F.explode(grams(buckets)).alias("bucket"))
+        .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("_t").alias("good")).collect()
     )
-    raw, good = [1] * buckets, [1] * buckets
-    for r in counted:
-        raw[r["bucket"]] += r["raw"]
-        good[r["bucket"]] += r["good"]
-    if sum(good) == buckets:
-        return [0.0] * buckets
-    shift = math.log(sum(raw)) - math.log(sum(good))
-    return [math.log(g) - math.log(r) + shift for g, r in zip(good, raw)]
+    share = sum(r["good"] for r in counted) / max(1, sum(r["raw"] for r in counted))
+    outside, inside = [0.0] * buckets, [0.0] * buckets
+    for r in counted if share else ():
+        prior, others = PRIOR * share, share * (r["raw"] - 1 + PRIOR)
+        outside[r["bucket"]] = math.log((r["good"] + prior) / others)
+        inside[r["bucket"]] = math.log((max(r["good"] - 1, 0) + prior) / others)
+    return outside, inside
+
+
+def _looked_up(table: Column) -> Column:
+    return F.aggregate("_g", F.lit(0.0), lambda a, g: a + F.get(table, g))
 
 
 def judged(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of docs the base counts, the ratio and whether it is kept."""
-    table = F.split(F.lit(",".join(repr(x) for x in log_ratios(docs, trusted, buckets))), ",").cast("array<double>")
-    rows = base_rules(docs).withColumn("_g", grams(buckets))
-    total = F.aggregate("_g", F.lit(0.0), lambda a, g: a + F.get(table, g))
+    """Per row of docs the base counts, the ratio and whether it is kept. trusted: a table of doc_id."""
+    marks = trusted.filter("doc_id is not null").select("doc_id").distinct().withColumn("_t", F.lit(1))
+    known = docs.select("doc_id", "text").join(small(marks, 24), "doc_id", "left").withColumn("_t", F.coalesce("_t", F.lit(0)))
+    tables = [
+        F.split(F.lit(",".join(map(repr, t))), ",").cast("array<double>")
+        for t in log_ratios(known.select("_t", words().alias("_w")), buckets)
+    ]
+    rows = base_rules(known).withColumn("_g", grams(buckets))
+    outside, inside = (_looked_up(t) for t in tables)
+    total = F.when(F.col("_t") == 1, inside).otherwise(outside)
     ratio = F.when(F.size("_g") > 0, total / F.size("_g")).otherwise(0.0)
     return rows.withColumn("ratio", ratio).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
