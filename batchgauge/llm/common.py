@@ -63,6 +63,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(),
         f"{label}-links",
     )
+    if links.isEmpty():
+        return links.select(F.col("u").alias("v"), F.col("v").alias("root"))
     before = None
     for _ in range(MAX_ROUNDS):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
