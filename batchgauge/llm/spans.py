@@ -11,8 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, dtype=np.uint64)
 
@@ -87,7 +88,11 @@ def _inverse_power(n: int) -> np.uint64:
 
 
 def text_blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batch in slices of about BLOCK_BYTES, each with its texts as bytes (null: empty)."""
-    texts = [encoded(t) for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-    for a, b in blocks(len(texts), np.array([len(t) for t in texts], dtype=np.int64)):
-        yield batch.slice(a, b - a), texts[a:b]
+    """The batch in slices of about BLOCK_BYTES, each with its texts as bytes (null: empty).
+
+    Only the texts of the slice at hand are Python objects.
+    """
+    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for a, b in blocks(batch.num_rows, sizes):
+        yield batch.slice(a, b - a), [t or b"" for t in texts.slice(a, b - a).to_pylist()]
