@@ -2,19 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from batchgauge.session import scratch_folder
 
 BROADCAST_BYTES = 48_000_000
+TEXT_ROWS = 2000
 MAX_ROUNDS = 60
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared scratch folder and read it back: the lineage ends there."""
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """While an action runs, whole texts go to Python TEXT_ROWS at a time: two tasks then fit a small executor."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, label: str, texts: bool = False) -> DataFrame:
+    """Write a table to the shared scratch folder and read it back: the lineage ends there.
+
+    texts: the plan hands whole texts to Python.
+    """
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    df.write.parquet(path)
+    with text_batches(spark) if texts else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

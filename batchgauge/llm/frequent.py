@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from batchgauge.llm.common import text_batches
 from batchgauge.llm.spans import Spans, text_blocks
 
 LOCAL_COUNT = 4
@@ -50,8 +51,10 @@ def frequent_grams(docs: DataFrame, size: int, lower: bool = False) -> np.ndarra
     counted = docs.select("text").filter("text is not null").mapInArrow(count, "gram long, n long")
     top = (
         counted.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= TOTAL_COUNT)
-        .orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).toPandas()
+        .orderBy(F.desc("n"), "gram").limit(MAX_GRAMS)
     )
+    with text_batches(docs.sparkSession):
+        top = top.toPandas()
     return np.sort(top["gram"].to_numpy(np.int64).astype(np.uint64))
 
 

@@ -313,7 +313,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
         packed.repartition("bucket").sortWithinPartitions("bucket")
         .mapInArrow(_bucket_marks(window, group_bytes), MARKS)
     )
-    marks = stored(marks, "repeats")
+    marks = stored(marks, "repeats", texts=True)
     loose = marks.filter("window is not null")
     first = loose.groupBy("window").agg(F.min(F.struct("doc", "tie", "word")).alias("first"))
     late = loose.join(first, "window").filter(F.struct("doc", "tie", "word") != F.col("first"))
