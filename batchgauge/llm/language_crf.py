@@ -103,6 +103,7 @@ def forward_backward(emission: np.ndarray, lengths: np.ndarray, transition: np.n
     lengths = np.asarray(lengths, dtype=np.int64)
     n, labels = emission.shape
     index, first = _columns(lengths)
+    first |= index == n  # nothing passes from the filling of a column to a sequence
     top = emission.max(axis=1, keepdims=True)
     likely = np.ones((n + 1, labels))
     likely[:n] = np.exp(np.maximum(emission - top, -60.0))
