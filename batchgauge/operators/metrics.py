@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from batchgauge.config import LOWER_IS_BETTER, EvalSpec
 from batchgauge.functions.columns import col, missing
@@ -85,9 +86,13 @@ def _log_loss(df: DataFrame, y_true: str, y_proba: Scores) -> Column:
 
 def confusion_counts(df: DataFrame, y_true: str, y_pred: str, by: Sequence[str] = ()) -> DataFrame:
     """by…, y_true, y_pred, n: classes squared rows per group."""
+    truth, told = col(y_true), col(y_pred)
+    kinds = [df.schema[c].dataType for c in (y_true, y_pred)]
+    if kinds[0] != kinds[1] and all(isinstance(k, NumericType) for k in kinds):
+        truth, told = truth.cast("double"), told.cast("double")  # 1 and 1.0 are one label
     return df.groupBy(
-        *by, F.when(~missing(df, y_true), col(y_true)).alias("y_true"),
-        F.when(~missing(df, y_pred), col(y_pred)).alias("y_pred"),
+        *by, F.when(~missing(df, y_true), truth).alias("y_true"),
+        F.when(~missing(df, y_pred), told).alias("y_pred"),
     ).agg(F.count("*").alias("n"))
 
 

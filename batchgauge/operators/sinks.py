@@ -186,7 +186,7 @@ def save_dates(
         rows = df.filter(F.col("run_date").isin(write)).withColumn("created_at", stamp.cast("timestamp"))
         rows = rows.select(*[col(n) for n in schema.names])
         if project.output.dedup_key:
-            rows = dedup_keys(rows, project.output.dedup_key)
+            rows = dedup_keys(rows, list(dict.fromkeys([*project.output.dedup_key, "run_date"])))  # one row per key and date
         _write_dates(rows, path, "overwrite" if replacing else "append")
         if replacing and present:
             # Dynamic overwrite leaves a date alone that gets no rows: clear those.

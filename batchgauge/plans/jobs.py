@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date, timedelta
 
@@ -33,7 +34,7 @@ def daily_run(
     """
     started, day = time.monotonic(), date.fromisoformat(str(run_date))
     store.ensure_platform_tables()
-    scored = None
+    scored, logged = None, False
     try:
         batch = readers.fetch(spark, project.input, day) if batch is None else batch
         # Gates and write share the narrow scored rows; a lost block is computed again.
@@ -43,12 +44,17 @@ def daily_run(
         rows = 0
         if status == "success":
             rows = store.result(project, scored.schema).filter(F.col("run_date") == F.lit(day)).count()
-        if with_monitoring:
-            after_run(store, project, scored, day, batch, reference)
         sinks.log_run(store, project, day, status, rows, time.monotonic() - started)
+        logged = True
+        if with_monitoring:
+            try:
+                after_run(store, project, scored, day, batch, reference)
+            except Exception as e:  # the rows are saved and logged: what watches them only warns
+                warnings.warn(f"monitoring of {project.project_id} on {day} failed: {e}", stacklevel=2)
         return status
     except Exception as e:
-        sinks.log_run(store, project, day, "failed", 0, time.monotonic() - started, str(e))
+        if not logged:
+            sinks.log_run(store, project, day, "failed", 0, time.monotonic() - started, str(e))
         raise
     finally:
         if scored is not None:

@@ -19,7 +19,7 @@ Reader = Callable[[SparkSession, SourceSpec, str], DataFrame]
 
 # The file suffixes read, with their separator.
 SEPARATORS = {".csv": ",", ".tsv": "\t"}
-_QUOTED_DATE = re.compile(r"'\{run_date\}'|\{run_date\}")
+_QUOTED_OR_DATE = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|\{run_date\}""")
 
 
 def iso_date(run_date: str | date) -> str:
@@ -36,8 +36,14 @@ def read_sql(spark: SparkSession, spec: SourceSpec, run_date: str) -> DataFrame:
     """Run the query over the session's tables and views, with the date as a parameter."""
     if not spec.query.strip():
         raise ValueError("sql source requires a 'query'")
-    text, marks = _QUOTED_DATE.subn(":run_date", spec.query)
-    return spark.sql(text, args={"run_date": date.fromisoformat(iso_date(run_date))} if marks else None)
+    day = iso_date(run_date)
+
+    def put(m: re.Match) -> str:
+        # alone it is a parameter; inside a longer literal or name it is the date's text, which iso_date has checked
+        return ":run_date" if m[0] in ("{run_date}", "'{run_date}'") else fill_run_date(m[0], day)
+
+    text = _QUOTED_OR_DATE.sub(put, spec.query)
+    return spark.sql(text, args={"run_date": date.fromisoformat(day)} if ":run_date" in text else None)
 
 
 def jdbc_options(spec: SourceSpec, run_date: str) -> dict[str, str]:
