@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 from batchgauge.config import LOWER_IS_BETTER, EvalSpec
 from batchgauge.functions.columns import col, missing
@@ -43,7 +43,9 @@ def pointwise_metrics(
     t = col(y_true)
     if y_pred is not None:
         p, whole = col(y_pred), _valid(df, [y_true, y_pred])
-        out["accuracy"] = F.when(whole, F.avg((t == p).cast("double")))
+        # text never equals a number; a comparison would try to cast it
+        same = F.lit(False) if _is_text(df, y_true) != _is_text(df, y_pred) else t == p
+        out["accuracy"] = F.when(whole, F.avg(same.cast("double")))
         if _numeric_pair(df, y_true, y_pred):
             gap = t.cast("double") - p.cast("double")
             mse = F.avg(gap * gap)
@@ -216,6 +218,41 @@ def one_vs_rest_auc(
     return per_class.groupBy(*by).agg(F.when(whole, F.avg("auc_roc")).alias("auc_roc"))
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, StringType)
+
+
+def _is_zero_one(df: DataFrame, y_true: str) -> bool:
+    """Whether all labels are the numbers 0 and 1; reads the label column only."""
+    return not _is_text(df, y_true) and df.filter(~missing(df, y_true) & ~col(y_true).cast("double").isin(0.0, 1.0)).isEmpty()
+
+
+def two_class_label(df: DataFrame, y_true: str, by: Sequence[str] = (), name: str = "two_class_label") -> DataFrame:
+    """``df`` with column ``name``: 1 for the greater label of its group, 0 for the smaller, 2 for any other.
+
+    Labels may be text or numbers. A missing label stays missing.
+    """
+    label = F.when(~missing(df, y_true), col(y_true))
+    bounds = df.groupBy(*[col(b) for b in by]).agg(F.min(label).alias("_low"), F.max(label).alias("_high"))
+    if by:
+        keys = bounds.withColumnsRenamed({b: f"_by_{i}" for i, b in enumerate(by)})
+        same = [col(b).eqNullSafe(F.col(f"_by_{i}")) for i, b in enumerate(by)]
+        rows = df.join(keys, same).drop(*[f"_by_{i}" for i in range(len(by))])
+    else:
+        low, high = bounds.first()
+        kind = df.schema[y_true].dataType
+        rows = df.withColumns({"_low": F.lit(low).cast(kind), "_high": F.lit(high).cast(kind)})
+    code = F.when(label == F.col("_high"), 1).when(label == F.col("_low"), 0).when(label.isNotNull(), 2)
+    return rows.withColumn(name, code).drop("_low", "_high")
+
+
+def _ks(df: DataFrame, y_true: str, score: str, by: Sequence[str]) -> DataFrame:
+    """by…, ks_statistic: of label 1 against label 0; text labels are neither, so 0."""
+    if _is_text(df, y_true):
+        return df.groupBy(*by).agg(F.count("*").alias("_n")).select(*by, F.lit(0.0).alias("ks_statistic"))
+    return ranked_metrics(df, y_true, score, by).select(*by, "ks_statistic")
+
+
 def evaluate(
     df: DataFrame,
     metrics: Sequence[str],
@@ -226,28 +263,44 @@ def evaluate(
 ) -> DataFrame:
     """by…, seq, metric, value rounded to 6: one row per asked metric and group.
 
-    ``y_proba`` is a score column for class 1, or class -> score column.
+    ``y_proba`` is a score column for the positive class, or class -> score column. Of two
+    labels the greater is positive for auc_roc, gini and log_loss; ks_statistic is always
+    of label 1 against label 0. A mapping of one class ranks nothing: those are NULL.
     """
     EvalSpec(metrics=tuple(metrics))
     binary = y_proba if isinstance(y_proba, str) or y_proba is None else None
+    second = None
     if isinstance(y_proba, Mapping) and len(y_proba) > 1:
         second = list(y_proba.values())[1]
         binary = second if len(y_proba) == 2 else None
     parts = []
     fused = [m for m in metrics if m in _FUSED]
+    coded, code = df, y_true
+    if binary is not None and {"auc_roc", "gini", "log_loss"} & set(metrics) and not _is_zero_one(df, y_true):
+        code = "two_class_label"
+        coded = two_class_label(df, y_true, by, code)
+        if "log_loss" in fused and isinstance(y_proba, str):
+            fused.remove("log_loss")
+            parts.append((pointwise_metrics(coded, code, None, y_proba, ["log_loss"], by), ["log_loss"]))
     if fused:
         parts.append((pointwise_metrics(df, y_true, y_pred, y_proba, fused, by), fused))
     table = [m for m in metrics if m in _CONFUSION]
     if table and y_pred is not None:
         parts.append((confusion_metrics(df, y_true, y_pred, by), table))
     ranked = [m for m in metrics if m in _RANKED]
-    if ranked and binary is not None:
+    if ranked and binary is not None and code == y_true and not _is_text(df, y_true):
         parts.append((ranked_metrics(df, y_true, binary, by), ranked))
-    elif ranked and y_proba is not None:
+    elif ranked and binary is not None:
+        sided = [m for m in ranked if m != "ks_statistic"]
+        if sided:
+            parts.append((ranked_metrics(coded, code, binary, by), sided))
+        if "ks_statistic" in ranked:
+            parts.append((_ks(df, y_true, binary, by), ["ks_statistic"]))
+    elif ranked and second is not None:
         auc = one_vs_rest_auc(df, y_true, y_proba, by).withColumn("gini", 2 * F.col("auc_roc") - 1)
         parts.append((auc, [m for m in ranked if m != "ks_statistic"]))
         if "ks_statistic" in ranked:
-            parts.append((ranked_metrics(df, y_true, second, by), ["ks_statistic"]))
+            parts.append((_ks(df, y_true, second, by), ["ks_statistic"]))
     covered = {m for _, names in parts for m in names}
     rest = [m for m in metrics if m not in covered]
     if rest:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from batchgauge.config import Project
@@ -119,10 +122,29 @@ def range_check(seq: int, i: int, name: str, low: float, high: float) -> Column:
     )
 
 
-def monitor_report(result: DataFrame, run_log: DataFrame, project: Project) -> DataFrame:
-    """project_id, run_date, seq, check_name, passed, value, threshold, message per check."""
+def _with_empty_days(counts: DataFrame, project: Project, dates: Sequence[str | date]) -> DataFrame:
+    """``counts`` with a row of zeros for each asked date that has none."""
+    days = counts.sparkSession.createDataFrame(
+        [(date.fromisoformat(str(d)),) for d in dict.fromkeys(dates)], "run_date date"
+    )
+    zeros = {c: F.coalesce(c, F.lit(0).cast("long")) for c in counts.columns if c not in ("run_date", "project_id")}
+    return (
+        counts.join(days, "run_date", "full").withColumns(zeros)
+        .withColumn("project_id", F.lit(project.project_id)).select(*counts.columns)
+    )
+
+
+def monitor_report(
+    result: DataFrame, run_log: DataFrame, project: Project, dates: Sequence[str | date] | None = None
+) -> DataFrame:
+    """project_id, run_date, seq, check_name, passed, value, threshold, message per check.
+
+    Every date of ``dates`` is reported, also one without a single row.
+    """
     checks = project.monitoring
     counts = run_counts(result, project)
+    if dates is not None:
+        counts = _with_empty_days(counts, project, dates)
     out = [
         row_count_check(checks.row_count_change_max_pct),
         null_outputs_check(len(project.schema.output_columns), checks.null_output_max_pct),

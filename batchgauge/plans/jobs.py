@@ -69,7 +69,8 @@ def after_run(
 
     Drift is checked on features and outputs that ``reference`` has.
     """
-    report = monitor.monitor_report(scored, store.read("run_log"), project)
+    own_runs = store.read("run_log").filter(F.col("project_id") == project.project_id)
+    report = monitor.monitor_report(scored, own_runs, project, [run_date])
     sinks.log_checks(store, report)
     out = {"report": report, "alerts": alerts.alert_messages(report, project.monitoring.alert_channel)}
     store.append_log("alert_log", out["alerts"])
@@ -131,8 +132,8 @@ def backfill(
 
     With a source that holds all days (``batch``, dated by column ``day``) this is one
     job: score, one aggregate of gates per day, one write of the days that pass, one
-    append to the run log. A source templated by date is run day by day. A day that
-    fails does not stop the others.
+    append to the run log. A source templated by date is run day by day, and so is a
+    range in which the scorer raises. A day that fails does not stop the others.
     """
     if replace:
         project = project.with_write_mode("replace_date")
@@ -156,8 +157,12 @@ def backfill(
     scored = scored_batch(in_range, scorer, project.schema, col(day)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store.ensure_result_table(project, scored.schema)
-        # Collected: one row per calendar day.
-        outcome = gate_outcomes(in_range, scored, project, days).collect()
+        try:
+            # Collected: one row per calendar day.
+            outcome = gate_outcomes(in_range, scored, project, days).collect()
+        except Exception as e:  # nothing is saved yet: find the day by itself
+            warnings.warn(f"one-job backfill of {project.project_id} failed, going day by day: {e}", stacklevel=2)
+            return _day_by_day(spark, store, project, scorer, first, last, batch, day)
         verdicts = [(r["run_date"], r["n_rows"], r["message"]) for r in outcome]
         passing = [d for d, _, message in verdicts if message is None]
         status = sinks.save_dates(store, scored, project, passing) if passing else {}
@@ -186,13 +191,14 @@ def _finish(
     return spark.createDataFrame(outcome, "run_date date, status string, row_count long, error_message string")
 
 
-def _day_by_day(spark, store, project, scorer, start, end) -> DataFrame:
+def _day_by_day(spark, store, project, scorer, start, end, batch: DataFrame | None = None, dated: str = "run_date") -> DataFrame:
     first, last = date.fromisoformat(str(start)), date.fromisoformat(str(end))
     outcome = []
     for offset in range((last - first).days + 1):
         day = first + timedelta(days=offset)
+        rows = None if batch is None else batch.filter(col(dated).cast("date") == F.lit(day))
         try:
-            state, message = daily_run(spark, store, project, scorer, day), None
+            state, message = daily_run(spark, store, project, scorer, day, rows), None
         except Exception as e:  # one day's failure is its own
             state, message = "failed", str(e)
         outcome.append((day, state, message))

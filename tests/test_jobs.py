@@ -161,3 +161,18 @@ def test_preflight(spark):
     assert "r2" in jobs.preflight(spark, orphan, SCORER, "2024-01-01", good)[0]
     absent = replace(PROJECT, input=SourceSpec("file", {"path": "/nonexistent/x.csv"}))
     assert "Data source check failed" in jobs.preflight(spark, absent, SCORER)[0]
+
+
+def test_backfill_with_a_scorer_that_raises_on_one_day(spark, store):
+    def predict(model, x):
+        if (x["f"] == 7).any():
+            raise RuntimeError("seven")
+        return x["f"] / model
+
+    scorer = batch_scorer(lambda: 10.0, predict, COLUMNS, carry=["run_date"])
+    with pytest.warns(UserWarning, match="day by day"):
+        out = jobs.backfill(spark, store, PROJECT, scorer, "2024-01-01", "2024-01-03", days(spark, {1: [1], 2: [7], 3: [3]}))
+    got = {r["run_date"].day: (r["status"], r["row_count"]) for r in out.collect()}
+    assert got == {1: ("success", 1), 2: ("failed", 0), 3: ("success", 1)}
+    assert saved(store) == [(1, 0.1), (3, 0.3)]
+    assert [e[:3] for e in log(store)] == [(1, "success", 1), (2, "failed", 0), (3, "success", 1)]

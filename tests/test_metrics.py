@@ -188,3 +188,44 @@ def test_versions_side_by_side(spark):
     df = spark.createDataFrame(rows, "y int, old double, new double")
     got = metrics.compare_versions(df, {"candidate": "new", "production": "old"}, ["auc_roc"], "y").head()
     assert got["production"] == pytest.approx(0.96) and got["delta"] == pytest.approx(0.04 - 0.96)
+
+
+RANKS = ["auc_roc", "gini", "ks_statistic", "log_loss"]
+
+
+def ranks(df, by=()):
+    return {tuple(r[b] for b in by) + (r["metric"],): r["value"] for r in metrics.evaluate(df, RANKS, "y", None, "p", by).collect()}
+
+
+@pytest.mark.parametrize("kind, low, high", [("string", "bad", "good"), ("int", 1, 2), ("int", -1, 1), ("double", 0.5, 3.0)])
+def test_any_two_labels_rank_with_the_greater_as_positive(spark, kind, low, high):
+    rows = [(high if t else low, p) for t, p in zip(Y, PROBA)]
+    got = ranks(spark.createDataFrame(rows, f"y {kind}, p double"))
+    loss = -np.mean([math.log(p if t else 1 - p) for t, p in zip(Y, PROBA)])
+    assert got[("auc_roc",)] == pytest.approx(brute_auc(Y, PROBA), abs=1e-6)
+    assert got[("gini",)] == pytest.approx(2 * brute_auc(Y, PROBA) - 1, abs=2e-6)
+    assert got[("log_loss",)] == pytest.approx(loss, abs=1e-6)
+    if kind == "string":
+        assert got[("ks_statistic",)] == 0.0
+
+
+def test_text_labels_by_group_and_with_missing_or_third_labels(spark):
+    rows = [(g, "b" if t else "a", p) for g in ("x", None) for t, p in zip(Y, PROBA)]
+    rows += [("gap", None, 0.5), ("gap", "a", 0.1), ("gap", "b", 0.9)]
+    rows += [("three", c, 0.5) for c in "abc"]
+    got = ranks(spark.createDataFrame(rows, "g string, y string, p double"), ["g"])
+    for g in ("x", None):
+        assert got[(g, "auc_roc")] == pytest.approx(brute_auc(Y, PROBA), abs=1e-6)
+    assert got[("gap", "auc_roc")] is None and got[("three", "auc_roc")] is None and got[("three", "log_loss")] is None
+
+
+def test_text_truth_never_equals_a_number(spark):
+    df = spark.createDataFrame([("1", 1), ("a", 0)], "y string, pred int")
+    assert metrics.evaluate(df, ["accuracy"], "y", "pred").first()["value"] == 0.0
+
+
+def test_one_score_column_in_a_mapping_ranks_nothing(spark):
+    df = frame(spark, Y, PRED, PROBA)
+    rows = metrics.evaluate(df, ["auc_roc", "ks_statistic", "accuracy"], "y", "pred", {1: "p"}).collect()
+    got = {r["metric"]: r["value"] for r in rows}
+    assert got["auc_roc"] is None and got["ks_statistic"] is None and got["accuracy"] == 0.8

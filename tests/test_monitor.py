@@ -100,3 +100,15 @@ def test_severity_prefixes(spark):
     df = spark.createDataFrame([("critical",), ("warning",), ("info",), ("unknown",)], "s string")
     got = [r[0] for r in df.select(alerts.alert_text(F.col("s"), F.lit(""), F.lit("m"))).collect()]
     assert got == ["[!!!] [CRITICAL] m", "[!] [WARNING] m", "[i] [INFO] m", "[?] [UNKNOWN] m"]
+
+
+def test_a_day_without_rows_is_reported(spark):
+    log = spark.createDataFrame([run(2, "success", 5)], LOG)
+    rows = monitor.monitor_report(result(spark, []), log, PROJECT, [D]).collect()
+    got = {r["check_name"]: r for r in rows}
+    assert {r["run_date"] for r in rows} == {D} and {r["project_id"] for r in rows} == {"p1"}
+    assert (got["row_count_change"]["passed"], got["row_count_change"]["value"]) == (False, 100.0)
+    assert got["null_outputs"]["passed"] and got["range_a"]["message"] == "No non-null values in 'a'"
+    both = monitor.monitor_report(result(spark, [(0.5, 0.5)] * 5), log, PROJECT, [D, date(2024, 1, 4)])
+    count = {r["run_date"].day: r["passed"] for r in both.filter("check_name = 'row_count_change'").collect()}
+    assert count == {3: True, 4: False}
