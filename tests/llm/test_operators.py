@@ -92,6 +92,14 @@ def distance(pattern, text):
     return min(row)
 
 
+def test_groups_are_joined_up_by_new_links(spark):
+    groups = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "rep long, root long")
+    links = spark.createDataFrame([(6, 2), (9, 30), (30, 31), (40, 41)], "a long, b long")
+    got = {r["rep"]: r["root"] for r in jaccard_join._merged(groups, links, "t").collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 8: 8, 9: 8, 30: 8, 31: 8, 40: 40, 41: 40}
+    assert jaccard_join._merged(groups, links.limit(0), "t").count() == 6
+
+
 def test_edit_distance_columns():
     rng = random.Random(3)
     for _ in range(300):
