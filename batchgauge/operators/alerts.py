@@ -43,6 +43,22 @@ def alert_messages(report: DataFrame, channel: str = "") -> DataFrame:
     )
 
 
+def drift_alerts(immediate: DataFrame, sustained: DataFrame, channel: str = "") -> DataFrame:
+    """Rows as of ``alert_messages``, one per column with critical or with sustained drift."""
+    now = immediate.filter(F.col("source") == "drift").select(
+        "project_id", "run_date", F.lit("critical").alias("severity"),
+        F.concat_ws(": ", F.col("name"), F.col("message")).alias("text"),
+    )
+    lasting = sustained.select(
+        "project_id", "run_date", F.lit("warn").alias("severity"),
+        F.concat(F.col("column"), F.lit(": drift on "), F.col("drifted_days").cast("string"), F.lit(" of the last runs")).alias("text"),
+    )
+    return now.unionByName(lasting).select(
+        "project_id", "run_date", F.lit(channel).alias("channel"), "severity", F.lit(1).cast("long").alias("n_failed"),
+        alert_text(F.col("severity"), F.col("project_id"), F.col("text")).alias("message"),
+    )
+
+
 def immediate_alerts(report: DataFrame, drift: DataFrame) -> DataFrame:
     """Failed health checks and critical drift as (project_id, run_date, source, name, message)."""
     health = report.filter(~F.col("passed")).select(

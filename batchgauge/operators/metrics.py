@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from batchgauge.config import LOWER_IS_BETTER, EvalSpec
+from batchgauge.config import ADDED_METRICS, EvalSpec, lower_is_better
 from batchgauge.functions.columns import col, missing
 from batchgauge.functions.quantiles import cut_points, with_cell
 
@@ -124,7 +124,10 @@ def label_scores(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def confusion_metrics(
     df: DataFrame, y_true: str, y_pred: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """by…, f1_macro, f1_weighted, precision_macro, recall_macro."""
+    """by…, f1_macro, f1_weighted, precision_macro, recall_macro; NULL if only one side is text."""
+    if _is_text(df, y_true) != _is_text(df, y_pred):
+        none = [F.lit(None).cast("double").alias(m) for m in _CONFUSION]
+        return df.groupBy(*by).agg(F.count("*").alias("_n")).select(*by, *none)
     labels = label_scores(confusion_counts(df, y_true, y_pred, by), by)
     good = F.count_if("bad") == 0
     return labels.groupBy(*by).agg(
@@ -284,6 +287,11 @@ def evaluate(
             parts.append((pointwise_metrics(coded, code, None, y_proba, ["log_loss"], by), ["log_loss"]))
     if fused:
         parts.append((pointwise_metrics(df, y_true, y_pred, y_proba, fused, by), fused))
+    added = [m for m in metrics if m in ADDED_METRICS]
+    if added:
+        parts.append((
+            df.groupBy(*by).agg(*[ADDED_METRICS[m](y_true, y_pred, y_proba).cast("double").alias(m) for m in added]), added
+        ))
     table = [m for m in metrics if m in _CONFUSION]
     if table and y_pred is not None:
         parts.append((confusion_metrics(df, y_true, y_pred, by), table))
@@ -332,7 +340,7 @@ def threshold_checks(results: DataFrame, thresholds: Mapping[str, float], by: Se
     rows = results.groupBy(*by).agg(have.alias("have")).select(*by, "have", F.inline(limits))
     value = F.element_at("have", F.col("metric"))
     value = F.when(~F.isnan(value), value)
-    lower = F.col("metric").isin(*LOWER_IS_BETTER)
+    lower = F.col("metric").isin(*lower_is_better())
     met = F.when(lower, value <= F.col("threshold")).otherwise(value >= F.col("threshold"))
     return rows.select(
         *by, "metric", value.alias("value"), "threshold",
@@ -348,7 +356,7 @@ def metric_summary(results: DataFrame, thresholds: Mapping[str, float], by: Sequ
         limit = F.when(F.col("metric") == name, F.lit(str(t))).otherwise(limit)
         shown = F.when(F.col("metric") == name, F.lit(float(t))).otherwise(shown)
     value = F.col("value")
-    met = F.when(F.col("metric").isin(*LOWER_IS_BETTER), value <= shown).otherwise(value >= shown)
+    met = F.when(F.col("metric").isin(*lower_is_better()), value <= shown).otherwise(value >= shown)
     text = F.coalesce(F.format_string("%.4f", value), F.lit("FAILED"))
     text = F.when(value.isNull(), F.lit("FAILED")).otherwise(text)
     line = F.when(limit.isNull(), F.concat(F.lit("  ℹ️  "), F.col("metric"), F.lit(": "), text)).otherwise(

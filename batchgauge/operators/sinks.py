@@ -159,9 +159,10 @@ def stored_dates(stored: DataFrame, dates: Sequence[str | date]) -> list[date]:
     return sorted(r["run_date"] for r in rows)
 
 
-def _write_dates(df: DataFrame, path: str, mode: str) -> None:
+def _write_dates(df: DataFrame, path: str) -> None:
     # Rebalancing gathers each date into files of even size and splits the dates that hold most rows.
-    df.hint("rebalance", "run_date").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+    # Dates are staged and moved in whole, so a job that dies leaves no part of one.
+    df.hint("rebalance", "run_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "run_date"
     ).parquet(path)
 
@@ -187,7 +188,7 @@ def save_dates(
         rows = rows.select(*[col(n) for n in schema.names])
         if project.output.dedup_key:
             rows = dedup_keys(rows, list(dict.fromkeys([*project.output.dedup_key, "run_date"])))  # one row per key and date
-        _write_dates(rows, path, "overwrite" if replacing else "append")
+        _write_dates(rows, path)
         if replacing and present:
             # Dynamic overwrite leaves a date alone that gets no rows: clear those.
             filled = set(stored_dates(df, present))

@@ -10,7 +10,7 @@ from datetime import date, timedelta
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from batchgauge.config import Project
+from batchgauge.config import Project, metric_findings
 from batchgauge.functions.columns import col
 from batchgauge.operators import alerts, drift, gates, lookups, monitor, sinks
 from batchgauge.operators.scoring import Scorer, scored_batch
@@ -67,15 +67,20 @@ def after_run(
 ) -> dict[str, DataFrame]:
     """Write the health checks, alerts and drift of a date to their logs; the same rows by name.
 
-    Drift is checked on features and outputs that ``reference`` has.
+    Drift is checked on features and outputs that ``reference`` has: without one, on the
+    stored scores of the days that the drift settings name. Critical drift, and drift on
+    most of the last runs, are alerts too.
     """
     own_runs = store.read("run_log").filter(F.col("project_id") == project.project_id)
     report = monitor.monitor_report(scored, own_runs, project, [run_date])
     sinks.log_checks(store, report)
     out = {"report": report, "alerts": alerts.alert_messages(report, project.monitoring.alert_channel)}
     store.append_log("alert_log", out["alerts"])
+    spec = project.monitoring.drift
+    if reference is None and spec.enabled:
+        stored = drift.reference_window(store.result(project, scored.schema), run_date, spec.reference_days)
+        reference = None if stored.isEmpty() else stored
     if reference is not None:
-        spec = project.monitoring.drift
         parts = [drift.drift_check(scored, reference, project.schema.output_columns, spec)]
         if batch is not None:
             parts.append(drift.drift_check(batch, reference, project.schema.feature_columns, spec))
@@ -84,7 +89,16 @@ def after_run(
             F.lit(project.project_id).alias("project_id"), F.lit(run_date).alias("run_date"), *rows.columns
         )
         store.append_log("drift_log", out["drift"])
-        out["immediate"] = alerts.immediate_alerts(report, out["drift"])
+        # from here on from the log: a few rows per day
+        past = store.read("drift_log").filter(
+            (F.col("project_id") == project.project_id) & (F.col("run_date") <= F.lit(run_date))
+        ).dropDuplicates(["project_id", "run_date", "column"])
+        today = F.col("run_date") == F.lit(run_date)
+        out["immediate"] = alerts.immediate_alerts(report, past.filter(today))
+        out["sustained"] = drift.sustained_drift(past).filter(today & F.col("sustained"))
+        store.append_log("alert_log", alerts.drift_alerts(
+            out["immediate"], out["sustained"], project.monitoring.alert_channel
+        ))
     return out
 
 
@@ -242,23 +256,22 @@ def preflight(
     batch: DataFrame | None = None,
 ) -> list[str]:
     """Problems of source, columns, scores and metric settings; an empty list is a pass."""
-    from batchgauge.config import metric_config_problems
-
     day = date.today() if run_date is None else date.fromisoformat(str(run_date))
-    problems = metric_config_problems(project.evaluation.metrics, project.evaluation.thresholds)
+    settings = metric_findings(project.evaluation.metrics, project.evaluation.thresholds)
+    problems = [message for _, usable, message in settings if not usable]
     try:
         batch = readers.fetch(spark, project.input, day) if batch is None else batch
     except Exception as e:  # reported, not raised
-        return [*problems, f"Data source check failed: {e}"]
+        return [*problems, f"the input cannot be read: {e}"]
     absent = sorted({*project.schema.id_columns, *project.schema.feature_columns} - set(batch.columns))
     if absent:
-        problems.append(f"Missing columns in data source: {absent}")
+        problems.append(f"the input lacks {absent}")
     if batch.isEmpty():
-        problems.append("Data source returned 0 rows (may be expected for today's date)")
+        problems.append(f"the input of {day} is empty")
     elif not absent:
         try:
             scored = scored_batch(batch, scorer, project.schema, day)
             gates.check_output(scored, project.schema, project.monitoring)
         except Exception as e:  # reported, not raised
-            problems.append(f"Prediction test failed: {e}")
+            problems.append(f"a trial scoring did not pass: {e}")
     return problems

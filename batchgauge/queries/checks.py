@@ -198,3 +198,15 @@ def alert_severity(spark, sf_dir):
         "event_id", tier.alias("severity"), severity_prefix(tier).alias("prefix"),
         alerts.alert_text(tier, who, F.col("event_type")).alias("text"),
     )
+
+
+@query("mon_empty_day", f"""WITH {BATCH_SQL}, {RUN_LOG_SQL}
+SELECT DATE '2024-03-01' AS run_date, 'row_count_change' AS check_name, false AS passed, 100.0::DOUBLE AS value,
+       printf('Row count changed 100.0%% (%d -> 0, max allowed: 5.0%%)', row_count) AS message
+FROM last_success ORDER BY last_success.run_date DESC LIMIT 1""")
+def mon_empty_day(spark, sf_dir):
+    """A day without a single row is the largest drop there is."""
+    day = "2024-03-01"
+    none = events_scored(spark, sf_dir).filter(F.col("run_date") == F.lit(day).cast("date"))
+    report = monitor.monitor_report(none, events_run_log(spark, sf_dir), EVENTS, [day])
+    return report.filter("check_name = 'row_count_change'").select("run_date", "check_name", "passed", "value", "message")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from batchgauge.config import add_metric
 from batchgauge.functions.columns import logistic
 from batchgauge.operators import metrics
 from batchgauge.queries.inputs import BATCH_SQL, events_batch
@@ -272,3 +273,41 @@ SELECT metric, candidate, production, round(candidate - production, 6) AS delta
 def m_candidate_vs_production(spark, sf_dir):
     versions = {"candidate": "score_new", "production": "score_now"}
     return metrics.compare_versions(judged(spark, sf_dir), versions, ["auc_roc", "ks_statistic", "accuracy"], "y")
+
+
+@query("m_f1_mixed_types", f"""WITH {_SALES}, statuses AS (SELECT y, predicted FROM sales), {_LABELS}
+SELECT round(avg(f1), 6) AS f1_macro, round(sum(f1 * support) / sum(support), 6) AS f1_weighted,
+       round(avg(prec), 6) AS precision_macro, round(avg(rec), 6) AS recall_macro FROM per_class""")
+def m_f1_mixed_types(spark, sf_dir):
+    """Truth is an int, the prediction a double: 1 and 1.0 are one label."""
+    rows = sales(spark, sf_dir).withColumn("predicted", F.col("predicted").cast("double"))
+    names = ["f1_macro", "f1_weighted", "precision_macro", "recall_macro"]
+    return metrics.confusion_metrics(rows, "y", "predicted").withColumns(rounded(*names))
+
+
+def _worded(spark, sf_dir):
+    return sales(spark, sf_dir).withColumn("y", F.when(F.col("y") == 1, "yes").otherwise("no"))
+
+
+@query("m_auc_text_labels", f"""WITH {_SALES}, {_rank_sql('sales', 'y', 'p')}
+SELECT 1 AS seq, 'auc_roc' AS metric, round(auc, 6) AS value FROM ranked
+UNION ALL SELECT 2, 'gini', round(2 * auc - 1, 6) FROM ranked""")
+def m_auc_text_labels(spark, sf_dir):
+    """Of two words the greater is the positive class."""
+    return metrics.evaluate(_worded(spark, sf_dir), ["auc_roc", "gini"], "y", None, "p")
+
+
+@query("m_ks_text_labels", f"""WITH {_SALES}
+SELECT 1 AS seq, 'ks_statistic' AS metric, CAST(max(CASE WHEN y IN (0, 1) THEN 0 END) AS DOUBLE) AS value FROM sales""")
+def m_ks_text_labels(spark, sf_dir):
+    """Words are neither label 1 nor label 0: no gap."""
+    return metrics.evaluate(_worded(spark, sf_dir), ["ks_statistic"], "y", None, "p")
+
+
+@query("m_custom_metric", f"""WITH {_SALES}
+SELECT 1 AS seq, 'accuracy' AS metric, round(avg(CAST(y = predicted AS INT)), 6) AS value FROM sales
+UNION ALL SELECT 2, 'mean_bias', round(avg(p - y), 6) FROM sales""")
+def m_custom_metric(spark, sf_dir):
+    """A metric that a project adds, next to a built-in one."""
+    add_metric("mean_bias", lambda y_true, y_pred, y_proba: F.avg(F.col(y_proba) - F.col(y_true)), lower_is_better=True)
+    return metrics.evaluate(sales(spark, sf_dir), ["accuracy", "mean_bias"], "y", "predicted", "p")

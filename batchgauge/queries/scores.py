@@ -26,6 +26,18 @@ def src_sql_run_date(spark, sf_dir):
     return readers.fetch(spark, SourceSpec(source="SQL", query=text), DAY)
 
 
+@query("src_sql_date_in_literal", f"""
+SELECT event_id, user_id, value FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}'""")
+def src_sql_date_in_literal(spark, sf_dir):
+    """The date alone and inside longer literals."""
+    table(spark, sf_dir, "events").createOrReplaceTempView("batchgauge_events")
+    text = (
+        "SELECT event_id, user_id, value FROM batchgauge_events WHERE CAST(ts AS STRING) LIKE '{run_date}%' "
+        "AND ts >= '{run_date} 00:00:00' AND CAST(ts AS DATE) = {run_date}"
+    )
+    return readers.fetch(spark, SourceSpec(source="SQL", query=text), DAY)
+
+
 @query("src_parquet", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
 def src_parquet(spark, sf_dir):
     spec = SourceSpec(source="file", connection={"path": f"{sf_dir}/orders.parquet"})
@@ -104,7 +116,7 @@ def score_mllib(spark, sf_dir):
     batch = events_batch(spark, sf_dir)
     features = ["value", "hour", "k"]
     train = VectorAssembler(inputCols=features, outputCol="_features").transform(batch)
-    model = LogisticRegression(featuresCol="_features", labelCol="is_error", maxIter=10, regParam=0.01).fit(train)
+    model = LogisticRegression(featuresCol="_features", labelCol="is_error", regParam=0.01).fit(train)
     columns = ColumnSpec(("event_id",), tuple(features), ("p_error",))
     scorer = scoring.fitted_scorer(model, "p_error", features)
     return scoring.scored_batch(batch, scorer, columns, F.col("run_date")).withColumns(rounded("p_error", digits=4))

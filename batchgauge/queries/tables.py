@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -16,12 +17,16 @@ from batchgauge.queries.inputs import (
 from batchgauge.queries.registry import query, rounded, table
 from batchgauge.session import scratch_folder
 
-FIRST, LAST = "2024-01-01", "2024-01-30"
-DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]
 # No limits: every day passes the gates.
 LENIENT = replace(EVENTS, monitoring=CheckSpec(null_output_max_pct=100.0))
 
 
+def _days(scored):
+    """All days of a table, from its first to its last. Collected: two dates."""
+    first, last = scored.agg(F.min("run_date"), F.max("run_date")).first()
+    return [first + timedelta(days=i) for i in range((last - first).days + 1)]
+
+
 def _store(spark, label):
     return sinks.Store(spark, scratch_folder(spark, label))
 
@@ -36,8 +41,8 @@ SELECT event_id, run_date, round(risk, 6) AS risk, round(load, 6) AS load FROM s
 def sink_append_skip(spark, sf_dir):
     """The second append finds every date written and changes nothing."""
     store, scored = _store(spark, "append"), events_scored(spark, sf_dir)
-    sinks.save_dates(store, scored, EVENTS, DAYS)
-    sinks.save_dates(store, scored.withColumn("risk", F.lit(0.5)), EVENTS, DAYS)
+    sinks.save_dates(store, scored, EVENTS, _days(scored))
+    sinks.save_dates(store, scored.withColumn("risk", F.lit(0.5)), EVENTS, _days(scored))
     return _stored(store, EVENTS, scored)
 
 
@@ -47,9 +52,9 @@ FROM scored""")
 def sink_replace_date(spark, sf_dir):
     """Replacing the later half of the month leaves the other dates as they are."""
     store, scored = _store(spark, "replace"), events_scored(spark, sf_dir)
-    sinks.save_dates(store, scored, EVENTS, DAYS)
+    sinks.save_dates(store, scored, EVENTS, _days(scored))
     project = EVENTS.with_write_mode("replace_date")
-    sinks.save_dates(store, scored.withColumn("risk", F.lit(0.5)), project, DAYS[15:])
+    sinks.save_dates(store, scored.withColumn("risk", F.lit(0.5)), project, [d for d in _days(scored) if d >= date(2024, 1, 16)])
     return _stored(store, project, scored)
 
 
@@ -60,7 +65,7 @@ def sink_read_date(spark, sf_dir):
     from batchgauge.operators.views import predictions_of
 
     store, scored = _store(spark, "date"), events_scored(spark, sf_dir)
-    sinks.save_dates(store, scored, EVENTS, DAYS)
+    sinks.save_dates(store, scored, EVENTS, _days(scored))
     return predictions_of(_stored(store, EVENTS, scored), "2024-01-10", ["event_id"]).select("event_id", "run_date", "risk")
 
 
@@ -127,7 +132,8 @@ FROM scored JOIN verdict USING (run_date) WHERE error_message IS NULL""")
 def backfill_range(spark, sf_dir):
     """All days in one job; the days that fail a gate are not written."""
     store = _store(spark, "backfill")
-    jobs.backfill(spark, store, STRICT, EVENT_SCORER, FIRST, LAST, events_batch(spark, sf_dir))
+    batch = events_batch(spark, sf_dir)
+    jobs.backfill(spark, store, STRICT, EVENT_SCORER, _days(batch)[0], _days(batch)[-1], batch)
     return _stored(store, STRICT, events_scored(spark, sf_dir))
 
 
@@ -137,7 +143,24 @@ SELECT run_date, CASE WHEN error_message IS NULL THEN 'success' ELSE 'failed' EN
 UNION ALL SELECT DATE '2023-12-31', 'failed', 0, 'Input DataFrame is empty — no rows returned from data source'""")
 def backfill_outcomes(spark, sf_dir):
     store = _store(spark, "outcomes")
-    return jobs.backfill(spark, store, STRICT, EVENT_SCORER, "2023-12-31", LAST, events_batch(spark, sf_dir))
+    batch = events_batch(spark, sf_dir)
+    return jobs.backfill(spark, store, STRICT, EVENT_SCORER, "2023-12-31", _days(batch)[-1], batch)
+
+
+KEYED = replace(
+    LENIENT, output=OutputSpec("results.keyed", "append", ("user_id",)),
+    schema=replace(EVENTS.schema, id_columns=("event_id", "user_id")),
+)
+
+
+@query("backfill_key_dedup", """
+SELECT max(event_id) AS event_id, user_id, CAST(ts AS DATE) AS run_date FROM events GROUP BY ALL""")
+def backfill_key_dedup(spark, sf_dir):
+    """One row per user and day, the one with the greatest event id, from one job over all days."""
+    store, batch = _store(spark, "keyed"), events_batch(spark, sf_dir)
+    days = _days(batch)
+    jobs.backfill(spark, store, KEYED, EVENT_SCORER, days[0], days[-1], batch)
+    return store.read("results.keyed").select("event_id", "user_id", "run_date")
 
 
 @query("daily_run", f"""WITH {SCORED_SQL}
@@ -179,10 +202,10 @@ def run_active_projects(spark, sf_dir):
 
 @query("preflight_problems", f"""WITH {SCORED_SQL},
 high AS (SELECT count(*) FILTER (load > 1) AS n FROM scored)
-SELECT 'range' AS project, printf('Prediction test failed: Column ''load'' has %d values outside range [0.0, 1.0]', n) AS problem
+SELECT 'range' AS project, printf('a trial scoring did not pass: Column ''load'' has %d values outside range [0.0, 1.0]', n) AS problem
 FROM high WHERE n > 0
-UNION ALL SELECT 'columns', 'Missing columns in data source: [''no_such_feature'']'
-UNION ALL SELECT 'metrics', 'Thresholds defined for metrics not in metrics list: [''r2'']' """)
+UNION ALL SELECT 'columns', 'the input lacks [''no_such_feature'']'
+UNION ALL SELECT 'metrics', '''r2'' has a limit but is not computed' """)
 def preflight_problems(spark, sf_dir):
     """Pre-flight of four project settings over all events; the sound one has no problems."""
     batch = events_batch(spark, sf_dir)
@@ -229,13 +252,13 @@ def ingest_sample(spark, sf_dir):
 @query("label_join_lag", f"""WITH {SCORED_SQL},
 truth AS (
   SELECT event_id, is_error AS confirmed, run_date + CAST(CASE WHEN value > 50 THEN 14 ELSE 13 END AS INT) AS label_date
-  FROM batch WHERE k >= 20)
+  FROM batch)
 SELECT s.event_id, s.run_date, round(risk, 6) AS risk, confirmed
 FROM scored s JOIN truth t ON s.event_id = t.event_id AND t.label_date = s.run_date + 14""")
 def label_join_lag(spark, sf_dir):
     """Labels arrive 13 or 14 days after scoring; a lag of 14 days is asked for."""
     lag = F.when(F.col("value") > 50, 14).otherwise(13)
-    truth = events_batch(spark, sf_dir).filter("k >= 20").select(
+    truth = events_batch(spark, sf_dir).select(
         "event_id", F.col("is_error").alias("confirmed"), F.date_add("run_date", lag).alias("label_date")
     )
     joined = lookups.join_labels(events_scored(spark, sf_dir), truth, ["event_id"], "confirmed", 14)

@@ -35,7 +35,7 @@ def fill_run_date(template: str, run_date: str | date) -> str:
 def read_sql(spark: SparkSession, spec: SourceSpec, run_date: str) -> DataFrame:
     """Run the query over the session's tables and views, with the date as a parameter."""
     if not spec.query.strip():
-        raise ValueError("sql source requires a 'query'")
+        raise ValueError("a sql source without a query reads nothing")
     day = iso_date(run_date)
 
     def put(m: re.Match) -> str:
@@ -53,7 +53,7 @@ def jdbc_options(spec: SourceSpec, run_date: str) -> dict[str, str]:
     connection the read is split over executors; otherwise it is one task.
     """
     if not spec.query.strip():
-        raise ValueError("jdbc source requires a 'query'")
+        raise ValueError("a jdbc source without a query reads nothing")
     text = fill_run_date(spec.query, run_date).strip().rstrip(";")
     given = dict(spec.connection)
     if "url" not in given:
@@ -85,15 +85,15 @@ def read_paths(spark: SparkSession, paths: Iterable[str], schema: str | None = N
             )
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Data file not found: {', '.join(paths)}") from e
+            raise FileNotFoundError(f"no such path: {', '.join(paths)}") from e
         raise
-    raise ValueError(f"Unsupported file format: '{suffix}'. Use .csv, .tsv, or .parquet")
+    raise ValueError(f"files end in .csv, .tsv or .parquet here, not in '{suffix}'")
 
 
 def _path_template(spec: SourceSpec) -> str:
     template = spec.connection.get("path") or spec.query
     if not template:
-        raise ValueError("file source requires a 'path' in its connection, or a query used as the path")
+        raise ValueError("name the file in connection.path or in the query")
     return template
 
 
@@ -105,7 +105,7 @@ def read_file(spark: SparkSession, spec: SourceSpec, run_date: str) -> DataFrame
 def read_object(spark: SparkSession, spec: SourceSpec, run_date: str) -> DataFrame:
     """Files in an object store: the bucket and key template make an s3a path."""
     if not (spec.bucket and spec.key_template):
-        raise ValueError("s3 source requires 'bucket' and 'key_template'")
+        raise ValueError("an object is named by bucket and key_template together")
     path = f"s3a://{spec.bucket}/{fill_run_date(spec.key_template, run_date).lstrip('/')}"
     return read_paths(spark, [path], spec.connection.get("schema"))
 
@@ -128,5 +128,5 @@ def fetch(spark: SparkSession, spec: SourceSpec, run_date: str | date) -> DataFr
     """The batch of one date, by the reader registered for ``spec.source``."""
     reader = READERS.get(spec.source.lower())
     if reader is None:
-        raise ValueError(f"Unknown data source: '{spec.source.lower()}'. Available: {sorted(READERS)}")
+        raise ValueError(f"no reader for '{spec.source.lower()}', only for {sorted(READERS)}")
     return reader(spark, spec, iso_date(run_date))

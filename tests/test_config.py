@@ -1,7 +1,7 @@
 import pytest
 
 from batchgauge.config import (
-    METRIC_NAMES, DriftSpec, EvalSpec, metric_config_problems, project_from_mapping,
+    METRIC_NAMES, DriftSpec, EvalSpec, metric_findings, project_from_mapping,
 )
 
 RAW = {
@@ -45,7 +45,7 @@ def test_project_id_required():
 
 
 def test_unknown_metric_is_rejected():
-    with pytest.raises(ValueError, match="Unknown metrics"):
+    with pytest.raises(ValueError, match="no metric is called 'nonexistent'"):
         EvalSpec(metrics=("auc_roc", "nonexistent"))
     assert EvalSpec(metrics=()).metrics == ()
 
@@ -54,10 +54,10 @@ def test_thirteen_metrics():
     assert len(METRIC_NAMES) == 13
 
 
-def test_metric_config_problems():
-    assert metric_config_problems(["mse"], {"mse": 1.0}) == []
-    found = metric_config_problems(["mse", "nope"], {"r2": 0.5})
-    assert "nope" in found[0] and "r2" in found[1]
+def test_metric_findings():
+    assert metric_findings(["mse"], {"mse": 1.0}) == [("mse", True, "")]
+    found = {name: usable for name, usable, _ in metric_findings(["mse", "nope"], {"r2": 0.5})}
+    assert found == {"mse": True, "nope": False, "r2": False}
 
 
 def test_bad_drift_window():

@@ -73,8 +73,25 @@ def test_run_with_monitoring_and_drift(spark, store):
     assert {(r["column"], r["severity"]) for r in out["drift"].collect()} == {("p", "critical"), ("f", "critical")}
     assert {r["name"] for r in out["immediate"].collect()} == {"p", "f"}
     assert {(r["column"], r["severity"]) for r in store.read("drift_log").collect()} == {("p", "critical"), ("f", "critical")}
-    (alert,) = [r for r in store.read("alert_log").collect() if r["n_failed"] == 1]
+    alerts = [r for r in store.read("alert_log").collect() if r["n_failed"] == 1]
+    (alert,) = [r for r in alerts if "row_count_change" in r["message"]]
     assert alert["channel"] == "#c" and "- row_count_change: Row count changed 75.0%" in alert["message"]
+    # p twice: the daily run has checked it against the stored day before
+    assert sorted(r["message"].split(" — ")[1][:6] for r in alerts if r is not alert) == ["f: PSI", "p: PSI", "p: PSI"]
+
+
+def test_drift_against_the_stored_days_of_the_settings(spark, store):
+    checks = replace(PROJECT.monitoring, drift=DriftSpec(enabled=True, reference="last_2_days"), row_count_change_max_pct=1000.0)
+    project = replace(PROJECT, monitoring=checks)
+    values = {1: [1, 2, 3, 4], 2: [9] * 4, 3: [1, 2], 4: [10] * 4}
+    for day, f in values.items():
+        jobs.daily_run(spark, store, project, SCORER, f"2024-01-0{day}", days(spark, {day: f}), with_monitoring=True)
+    rows = {(r["run_date"].day, r["column"]): r["severity"] for r in store.read("drift_log").collect()}
+    assert set(rows) == {(2, "p"), (3, "p"), (4, "p")}  # features are not stored, day 1 has nothing before it
+    assert rows[(2, "p")] == "critical" and rows[(4, "p")] != "none"
+    texts = [(r["run_date"].day, r["severity"], r["message"]) for r in store.read("alert_log").collect()]
+    assert any(d == 4 and s == "warn" and "p: drift on 3 of the last runs" in m for d, s, m in texts)
+    assert not any(d < 4 and s == "warn" for d, s, m in texts)
 
 
 def test_backfill_isolates_days(spark, store):
@@ -154,13 +171,13 @@ def test_dry_run_writes_nothing(spark, store):
 def test_preflight(spark):
     good = days(spark, {1: [1]})
     assert jobs.preflight(spark, PROJECT, SCORER, "2024-01-01", good) == []
-    assert "0 rows" in jobs.preflight(spark, PROJECT, SCORER, "2024-01-01", good.limit(0))[0]
-    assert "Missing columns in data source: ['f']" in jobs.preflight(spark, PROJECT, SCORER, "2024-01-01", good.drop("f"))
-    assert "Prediction test failed" in jobs.preflight(spark, PROJECT, SCORER, "2024-01-01", days(spark, {1: [99]}))[0]
+    assert "is empty" in jobs.preflight(spark, PROJECT, SCORER, "2024-01-01", good.limit(0))[0]
+    assert "the input lacks ['f']" in jobs.preflight(spark, PROJECT, SCORER, "2024-01-01", good.drop("f"))
+    assert "trial scoring" in jobs.preflight(spark, PROJECT, SCORER, "2024-01-01", days(spark, {1: [99]}))[0]
     orphan = replace(PROJECT, evaluation=EvalSpec(("mse",), {"r2": 0.5}))
     assert "r2" in jobs.preflight(spark, orphan, SCORER, "2024-01-01", good)[0]
     absent = replace(PROJECT, input=SourceSpec("file", {"path": "/nonexistent/x.csv"}))
-    assert "Data source check failed" in jobs.preflight(spark, absent, SCORER)[0]
+    assert "cannot be read" in jobs.preflight(spark, absent, SCORER)[0]
 
 
 def test_backfill_with_a_scorer_that_raises_on_one_day(spark, store):

@@ -6,9 +6,9 @@ import pytest
 from batchgauge.config import METRIC_NAMES
 from batchgauge.operators import metrics
 
-Y = [0, 1, 1, 0, 1, 0, 1, 1, 0, 0]
-PRED = [0, 1, 1, 0, 1, 1, 1, 0, 0, 0]
-PROBA = [.1, .9, .8, .2, .7, .6, .85, .3, .15, .05]
+Y = [1, 0, 0, 1, 1, 0, 0, 1, 0, 1]
+PRED = [1, 0, 1, 1, 0, 0, 0, 1, 0, 1]
+PROBA = [.72, .12, .57, .93, .41, .33, .24, .66, .08, .88]
 
 
 def frame(spark, y, pred, proba):
@@ -178,7 +178,7 @@ def test_summary_lines(spark):
 
 
 def test_unknown_metric(spark):
-    with pytest.raises(ValueError, match="Unknown metrics"):
+    with pytest.raises(ValueError, match="no metric is called"):
         metrics.evaluate(frame(spark, Y, PRED, PROBA), ["nope"], "y", "pred", "p")
     assert metrics.evaluate(frame(spark, Y, PRED, PROBA), [], "y", "pred", "p").count() == 0
 
@@ -229,3 +229,25 @@ def test_one_score_column_in_a_mapping_ranks_nothing(spark):
     rows = metrics.evaluate(df, ["auc_roc", "ks_statistic", "accuracy"], "y", "pred", {1: "p"}).collect()
     got = {r["metric"]: r["value"] for r in rows}
     assert got["auc_roc"] is None and got["ks_statistic"] is None and got["accuracy"] == 0.8
+
+
+def test_text_truth_with_number_predictions_fails_the_metric_only(spark):
+    df = spark.createDataFrame([("yes", 1, 0.9), ("no", 0, 0.2), ("no", 1, 0.6)], "y string, pred int, p double")
+    got = values(df, ["f1_macro", "recall_macro", "accuracy", "auc_roc"])
+    assert got == {"f1_macro": None, "recall_macro": None, "accuracy": 0.0, "auc_roc": 1.0}
+
+
+def test_added_metric(spark):
+    from pyspark.sql import functions as F
+
+    from batchgauge.config import ADDED_METRICS, add_metric
+
+    add_metric("hit_rate", lambda y_true, y_pred, y_proba: F.avg((F.col(y_true) == F.col(y_pred)).cast("int")))
+    try:
+        assert values(frame(spark, Y, PRED, PROBA), ["hit_rate", "mse"]) == {"hit_rate": 0.8, "mse": 0.2}
+        results = metrics.evaluate(frame(spark, Y, PRED, PROBA), ["hit_rate"], "y", "pred", "p")
+        assert metrics.threshold_checks(results, {"hit_rate": 0.9}).head()["passed"] is False
+    finally:
+        del ADDED_METRICS["hit_rate"]
+    with pytest.raises(ValueError, match="built-in"):
+        add_metric("mse", lambda *names: None)
