@@ -20,7 +20,8 @@ adverts, forms and reader comments are left out anywhere, by element, role, or c
 words. Inline elements do not end a block, a line break is white space.
 
 Defined results: null or empty html gives an empty text. A page without a host in its url is
-wrapped with the other such pages. Elements nested deeper than 100 count as inline.
+wrapped with the other such pages. Elements of any depth are read; those nested deeper than
+100 are no part of the wrapper's expression.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import html as html_lib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -89,21 +91,22 @@ def _key(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(words)])
 
 
-def _implied_ends(tag: str, stack: list[str]) -> int:
+def _implied_ends(tag: str, stack: list[str], opened: Counter) -> int:
     """How many open elements end because this one begins: an item before the next item, a paragraph before a block."""
     ends, limits = CLOSES.get(tag, (frozenset(), frozenset()))
-    outermost = 0
+    outermost, left = 0, sum(opened[name] for name in ends)
     for depth, name in enumerate(reversed(stack), 1):
-        if not ends or name in limits:
+        if not left or name in limits:
             break
         if name in ends:
-            outermost = depth
+            outermost, left = depth, left - 1
     return outermost or int(bool(stack) and stack[-1] == "p")
 
 
 def events(page: str) -> Iterator[tuple[str, str]]:
     """("open", key), ("close", ""), ("text", characters) of the block elements, properly nested."""
     stack: list[str] = []
+    opened: Counter = Counter()  # how often each tag is in the stack
     at, size = 0, len(page)
     while at < size:
         m = TOKEN.search(page, at)
@@ -119,9 +122,10 @@ def events(page: str) -> Iterator[tuple[str, str]]:
         if m[1]:
             if tag == "br":
                 yield "text", " "
-            elif tag in stack:
+            elif opened[tag]:
                 while True:
                     top = stack.pop()
+                    opened[top] -= 1
                     yield "close", ""
                     if top == tag:
                         break
@@ -140,12 +144,11 @@ def events(page: str) -> Iterator[tuple[str, str]]:
             yield "close", ""
         if tag in VOID:
             continue
-        for _ in range(_implied_ends(tag, stack)):
-            stack.pop()
+        for _ in range(_implied_ends(tag, stack, opened)):
+            opened[stack.pop()] -= 1
             yield "close", ""
-        if len(stack) >= DEPTH:
-            continue
         stack.append(tag)
+        opened[tag] += 1
         yield "open", _key(tag, m[3])
     for _ in stack:
         yield "close", ""
@@ -159,8 +162,11 @@ def structure(page: str) -> list:
     """The page's own expression."""
     root: list = []
     stack = [root]
+    beyond = 0  # open elements that are nested too deep
     for kind, value in events(page):
-        if kind == "open":
+        if beyond or kind == "open" and len(stack) > DEPTH:
+            beyond += {"open": 1, "close": -1}.get(kind, 0)
+        elif kind == "open":
             node = [value, 1, 0, []]
             stack[-1].append(node)
             stack.append(node[3])

@@ -255,6 +255,14 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_html_nested_deeper_than_the_wrapper():
+    inner = "<nav>Menu</nav><p>a</p><p>b</p>"
+    page = "<div><article>" + "<div>" * 150 + inner + "</div>" * 150 + "<p>rest</p></article></div><p>after</p>"
+    assert html_wrappers.extract(page, {}) == "a\nb\nrest"
+    assert html_wrappers.expression(html_wrappers.structure(page)).endswith("<p>#</></></><p>#</>")
+    assert html_wrappers.extract("<ul><li>" + "<div>" * 120 + "<li>x" + "</div>" * 120 + "<li>y</ul>z", {}) == "x\ny\nz"
+
+
 def test_wrapper_grows_by_optional_and_repeated_parts():
     a = html_wrappers.structure("<ul><li>x</li></ul><p>t</p>")
     b = html_wrappers.structure("<ul><li>x</li><li>y</li></ul><hr><p>t</p>")
