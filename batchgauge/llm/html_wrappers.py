@@ -5,13 +5,20 @@ comes first: neighbouring equal elements, and neighbouring equal groups of up to
 repeated groups, and every text becomes a slot. The structures of a host's pages are then
 aligned one after another: what only one side has becomes optional, what one side has more
 often becomes repeated. The result is one union-free regular expression over tags per host,
-the wrapper. Each place in it is either part of the article or not, by its elements: that is
-decided once per host. A page is read along its host's wrapper, and the slots in article
-places are its text.
+the wrapper. Every page is then read along its host's wrapper, so that each of its texts has
+a place there. A place that says the same on every page that has it is a constant of the
+template (a notice, an advert, a box of links); one that says different things, on two pages or
+within one, as repeated parts do, is a slot. The slots in article places are a page's text.
+
+Constants need two pages that differ in their article: a place that only one page has, or only
+pages with equal articles, is a slot, and so is all of a host with one page. The title (`h1`) of
+an article stays, and a page that would be left without any text keeps its constants. Shared
+text in a repeated part, like a paragraph among paragraphs, is not told from the article.
 
 Pages of one host mostly share a few structures, so structures are counted and made distinct
 before the shuffle; a host with a third of all pages sends a few rows per task. A host's
 structures are folded in `SALTS` parts, one structure in memory at a time, then the parts.
+Of the texts only the smallest and largest hash per place are shuffled, combined per batch.
 Wrappers are broadcast to the pages when their counted size allows, else joined by host.
 
 The article: the `article` elements of a page; without any, `main`; without, elements whose
@@ -21,11 +28,12 @@ words. Inline elements do not end a block, a line break is white space.
 
 Defined results: null or empty html gives an empty text. A page without a host in its url is
 wrapped with the other such pages. Elements of any depth are read; those nested deeper than
-100 are no part of the wrapper's expression.
+100 are no part of the wrapper's expression, and their texts are slots.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import json
 import re
@@ -155,27 +163,65 @@ def events(page: str) -> Iterator[tuple[str, str]]:
 
 
 # A wrapper is a list of nodes [key, least, many, children]: least 0 is optional, many 1 is repeated.
-# Key "#" is a text slot, a key in brackets a repeated group.
+# Key "#" is a text, a key in brackets a repeated group. The children of a text are numbers: none in a
+# wrapper as it is stored, the numbers of its blocks in the structure of a page that is read.
 
 
-def structure(page: str) -> list:
-    """The page's own expression."""
+def read(page: str, shaped: bool = True) -> tuple[list, list[str], list[int], set[int]]:
+    """The page's own expression, its blocks, the numbers of those of the article and of those that are titles."""
     root: list = []
-    stack = [root]
-    beyond = 0  # open elements that are nested too deep
+    stack, marks = [root], [("", False, 0)]
+    blocks: list[str] = []
+    regions: dict[int, list[int]] = {0: []}
+    titles: set[int] = set()
+    words: list[str] = []
+
+    def flush() -> None:
+        text = " ".join(html_lib.unescape("".join(words)).split())
+        words.clear()
+        if not text:
+            return
+        key, dropped, rank = marks[-1]
+        if shaped and len(marks) <= DEPTH + 1:
+            stack[-1].append(["#", 1, 0, [len(blocks)]])
+        if not dropped:
+            regions.setdefault(rank, []).append(len(blocks))
+        if key.split(".")[0] == "h1":
+            titles.add(len(blocks))
+        blocks.append(text)
+
     for kind, value in events(page):
-        if beyond or kind == "open" and len(stack) > DEPTH:
-            beyond += {"open": 1, "close": -1}.get(kind, 0)
-        elif kind == "open":
-            node = [value, 1, 0, []]
-            stack[-1].append(node)
-            stack.append(node[3])
-        elif kind == "close":
-            children = stack.pop()
-            children[:] = folded(children)
-        elif value and not value.isspace() and not (stack[-1] and stack[-1][-1][0] == "#"):
-            stack[-1].append(["#", 1, 0, []])
-    return folded(root)
+        if kind == "text":
+            words.append(value)
+            continue
+        if words:
+            flush()
+        if kind == "open":
+            _, dropped, rank = marks[-1]
+            dropped, rank = placed(value, dropped, rank)
+            marks.append((value, dropped, rank))
+            if not dropped:
+                regions.setdefault(rank, [])
+            if shaped and len(marks) <= DEPTH + 1:
+                node = [value, 1, 0, []]
+                stack[-1].append(node)
+                stack.append(node[3])
+        else:
+            if shaped and len(marks) <= DEPTH + 1:
+                children = stack.pop()
+                children[:] = folded(children)
+            marks.pop()
+    flush()
+    return folded(root) if shaped else [], blocks, regions[max(regions)], titles
+
+
+def structure(page: str) -> list:
+    """The page's own expression, its texts left out."""
+    return _bare(read(page)[0])
+
+
+def _bare(nodes: list) -> list:
+    return [[key, least, many, [] if key == "#" else _bare(children)] for key, least, many, children in nodes]
 
 
 def folded(nodes: list) -> list:
@@ -196,28 +242,44 @@ def folded(nodes: list) -> list:
     return out
 
 
-def aligned(a: list, b: list) -> list:
-    """One expression for both lists: common nodes by longest common subsequence, the others optional."""
-    if a == b:
-        return a
+def _steps(a: list, b: list) -> Iterator[tuple[list | None, list | None]]:
+    """The nodes of both lists in order, common ones by longest common subsequence together."""
     n, m = len(a), len(b)
     length = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
             length[i][j] = length[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(length[i + 1][j], length[i][j + 1])
-    out, i, j = [], 0, 0
+    i, j = 0, 0
     while i < n and j < m:
-        x, y = a[i], b[j]
-        if x[0] == y[0]:
-            out.append([x[0], min(x[1], y[1]), max(x[2], y[2]), aligned(x[3], y[3])])
+        if a[i][0] == b[j][0]:
+            yield a[i], b[j]
             i, j = i + 1, j + 1
         elif length[i + 1][j] >= length[i][j + 1]:
-            out.append([x[0], 0, x[2], x[3]])
+            yield a[i], None
             i += 1
         else:
-            out.append([y[0], 0, y[2], y[3]])
+            yield None, b[j]
             j += 1
-    out += [[x[0], 0, x[2], x[3]] for x in a[i:]] + [[y[0], 0, y[2], y[3]] for y in b[j:]]
+    yield from ((x, None) for x in a[i:])
+    yield from ((None, y) for y in b[j:])
+
+
+def _inside(x: list, y: list) -> list:
+    """What two nodes of one key hold, as one."""
+    return x[3] + y[3] if x[0] == "#" else aligned(x[3], y[3])
+
+
+def aligned(a: list, b: list) -> list:
+    """One expression for both lists: common nodes by longest common subsequence, the others optional."""
+    if a == b:
+        return a
+    out = []
+    for x, y in _steps(a, b):
+        if x and y:
+            out.append([x[0], min(x[1], y[1]), max(x[2], y[2]), _inside(x, y)])
+        else:
+            one = x or y
+            out.append([one[0], 0, one[2], one[3]])
     return runs(out)
 
 
@@ -227,7 +289,7 @@ def runs(nodes: list) -> list:
     for node in nodes:
         if out and out[-1][0] == node[0]:
             last = out[-1]
-            out[-1] = [node[0], max(last[1], node[1]), 1, aligned(last[3], node[3])]
+            out[-1] = [node[0], max(last[1], node[1]), 1, _inside(last, node)]
         else:
             out.append(node)
     return out
@@ -261,61 +323,53 @@ def placed(key: str, dropped: bool, rank: int) -> tuple[bool, int]:
     return dropped, rank
 
 
-def places(wrapper: list, dropped: bool = False, rank: int = 0) -> dict:
-    """The wrapper as a tree of decisions: key -> (left out, rank, places inside)."""
-    out: dict = {}
-    for key, _, _, children in wrapper:
-        if key == "#":
-            continue
-        if key[0] == "(":
-            inside = places(children, dropped, rank)
-            for k, v in inside.items():
-                out[k] = (v[0], v[1], {**out[k][2], **v[2]}) if k in out else v
+def numbered(wrapper: list) -> list:
+    """The wrapper with a number in every text: its place."""
+    count = 0
+
+    def walk(nodes: list) -> list:
+        nonlocal count
+        out = []
+        for key, least, many, children in nodes:
+            if key == "#":
+                out.append([key, least, many, [count]])
+                count += 1
+            else:
+                out.append([key, least, many, walk(children)])
+        return out
+
+    return walk(wrapper)
+
+
+def located(own: list, wrapper: list, found: dict[int, int] | None = None) -> dict[int, int]:
+    """Read a page along a numbered wrapper: the number of a block -> its place."""
+    found = {} if found is None else found
+    same = len(own) == len(wrapper) and all(x[0] == y[0] for x, y in zip(own, wrapper))
+    for x, y in zip(own, wrapper) if same else _steps(own, wrapper):
+        if not x or not y:
             continue
-        d, r = placed(key, dropped, rank)
-        inner = places(children, d, r)
-        if key in out:
-            inner = {**out[key][2], **inner}
-        out[key] = (d, r, inner)
-    return out
+        if x[0] == "#":
+            found.update(dict.fromkeys(x[3], y[3][0]))
+        else:
+            located(x[3], y[3], found)
+    return found
 
 
-def extract(page: str | None, tree: dict) -> str:
-    """The article's blocks along the wrapper's places."""
+def extract(page: str | None, wrapper: list, constants: frozenset[int] = frozenset()) -> str:
+    """The article's blocks in slots of the numbered wrapper: those whose places are not `constants`."""
     if not page:
         return ""
-    stack = [(False, 0, tree)]
-    found: dict[int, list[str]] = {0: []}
-    block: list[str] = []
+    own, blocks, article, titles = read(page, bool(constants))
+    if constants:
+        place = located(own, wrapper)
+        slots = [i for i in article if i in titles or place.get(i) not in constants]
+        article = slots or article
+    return "\n".join(blocks[i] for i in article)
 
-    def flush() -> None:
-        if block:
-            dropped, rank, _ = stack[-1]
-            text = " ".join(html_lib.unescape("".join(block)).split())
-            block.clear()
-            if text and not dropped:
-                for r in found:
-                    if r <= rank:
-                        found[r].append(text)
 
-    for kind, value in events(page):
-        if kind == "text":
-            block.append(value)
-            continue
-        flush()
-        if kind == "close":
-            stack.pop()
-            continue
-        dropped, rank, inside = stack[-1]
-        here = inside.get(value)
-        if here is None:  # a page that the wrapper was not made from
-            here = (*placed(value, dropped, rank), {})
-        stack.append(here)
-        if not here[0]:
-            for r in range(1, here[1] + 1):
-                found.setdefault(r, [])
-    flush()
-    return "\n".join(found[max(found)])
+def _hash(text: str) -> int:
+    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
 
 
 STRUCTURES = "host string, structure string"
@@ -357,27 +411,70 @@ def wrappers(pages: DataFrame) -> DataFrame:
     )
 
 
+PLACES = "host string, place int, low long, high long, first long, last long"
+
+
+def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From pages with their wrappers: per place the range of the hashes of its texts, and of its pages' articles."""
+    for batch in batches:
+        ranges: dict[tuple[str, int], list[int]] = {}
+        known: dict[str, list] = {}
+        for host, wrapper, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if wrapper not in known:
+                known[wrapper] = numbered(json.loads(wrapper))
+            own, blocks, article, _ = read(page)
+            place = located(own, known[wrapper])
+            whole = _hash("\n".join(blocks[i] for i in article))
+            for i in article:
+                if i not in place:
+                    continue
+                value = _hash(blocks[i])
+                r = ranges.setdefault((host, place[i]), [value, value, whole, whole])
+                r[:] = min(r[0], value), max(r[1], value), min(r[2], whole), max(r[3], whole)
+        rows = [(*k, *v) for k, v in ranges.items()]
+        names = [x.split()[0] for x in PLACES.split(", ")]
+        kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4]
+        yield pa.record_batch({n: pa.array([r[i] for r in rows], kind) for i, (n, kind) in enumerate(zip(names, kinds))})
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """Rows (host, wrapper, constants) of the hosts that have template text: their expression and its places of that kind."""
+    made = stored(wrappers(pages), "wrappers")
+    read_along = pages.select(host_of().alias("host"), "html").filter("html is not null").join(_bounded(made), "host")
+    ranges = read_along.select("host", "wrapper", "html").mapInArrow(_readings, PLACES).groupBy("host", "place").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+    constants = stored(
+        ranges.filter("low = high and first < last").groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("constants")),
+        "constants",
+    )
+    return made.join(constants, "host")
+
+
+def _bounded(made: DataFrame) -> DataFrame:
+    """Rows by host, for a broadcast when their counted size allows."""
+    size = made.agg(F.sum(F.length("wrapper") + 64)).first()[0] or 0
+    return F.broadcast(made) if size <= BROADCAST_BYTES // 4 else made
+
+
 def main_texts(pages: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """`columns` (default: all but html) of every page plus text and n_chars. Columns of those names are replaced."""
     names = [c for c in ([c for c in pages.columns if c != "html"] if columns is None else columns) if c not in ("text", "n_chars")]
     fields = {f.name: f for f in pages.schema.fields}
     schema = StructType([fields[n] for n in names] + [StructField("text", StringType()), StructField("n_chars", LongType())])
-    made = stored(wrappers(pages), "wrappers").toDF("__host", "__wrapper")
-    size = made.agg(F.sum(F.length("__wrapper") + 64)).first()[0] or 0
-    if size <= BROADCAST_BYTES // 4:
-        made = F.broadcast(made)
+    made = _bounded(stored(templates(pages), "templates")).toDF("__host", "__wrapper", "__constants")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict[str, dict] = {}
+        known: dict[str, list] = {}
         for batch in batches:
             get = lambda n: batch.column(batch.schema.get_field_index(n))  # noqa: B023, E731
-            texts = []
-            for page, wrapper in zip(get("html").to_pylist(), get("__wrapper").to_pylist()):
-                if wrapper not in trees:
-                    if len(trees) > 256:
-                        trees.clear()
-                    trees[wrapper] = places(json.loads(wrapper)) if wrapper else {}
-                texts.append(extract(page, trees[wrapper]))
+            texts: list[str] = []
+            for page, wrapper, constants in zip(get("html").to_pylist(), get("__wrapper").to_pylist(), get("__constants").to_pylist()):
+                if wrapper not in known:
+                    if len(known) > 256:
+                        known.clear()
+                    known[wrapper] = numbered(json.loads(wrapper)) if wrapper else []
+                texts.append(extract(page, known[wrapper], frozenset(constants or ())))
             yield pa.record_batch({
                 **{n: get(n) for n in names}, "text": pa.array(texts, pa.string()),
                 "n_chars": pa.array([len(t) for t in texts], pa.int64()),

@@ -255,6 +255,28 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_html_text_that_the_pages_of_a_host_share(spark):
+    def page(title, paragraphs, box="<div class=x7>Read our letter</div>"):
+        return f"<body><div>Site</div><article><h1>{title}</h1>{''.join(f'<p>{p}</p>' for p in paragraphs)}{box}</article></body>"
+
+    rows = [
+        (1, "http://two.example/1", page("One", ["a", "b"])), (2, "http://two.example/2", page("One", ["c"])),
+        (3, "http://two.example/3", page("Three", ["d", "e"], "")), (4, "http://two.example/4", page("Four", [], "<ul><li>only<li>here</ul>")),
+        (5, "http://two.example/5", page("Five", ["f"], "<div class=x7>Read our letter</div><table><tr><td>once</table>")),
+        (10, "http://one.example/1", page("Alone", ["a"])), (11, "http://one.example/1", page("Alone", ["a"])),
+        (20, "http://same.example/1", "<article><p>x</article>"), (21, "http://same.example/2", "<article><p>x</article><p>y"),
+        (30, "http://main.example/1", "<body><div>Top</div><p>a<p>b<div>Links</div>"), (31, "http://main.example/2", "<body><div>Top</div><p>c<div>Links</div>"),
+        (32, "http://main.example/3", "<body><div>Top</div>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_wrappers.main_texts(pages.repartition(3, "page_id")).collect()}
+    assert got == {
+        1: "One\na\nb", 2: "One\nc", 3: "Three\nd\ne", 4: "Four\nonly\nhere", 5: "Five\nf\nonce",
+        10: "Alone\na\nRead our letter", 11: "Alone\na\nRead our letter", 20: "x", 21: "x", 30: "a\nb", 31: "c", 32: "Top",
+    }
+    assert html_wrappers.extract(rows[0][2], []) == "One\na\nb\nRead our letter"
+
+
 def test_html_nested_deeper_than_the_wrapper():
     inner = "<nav>Menu</nav><p>a</p><p>b</p>"
     page = "<div><article>" + "<div>" * 150 + inner + "</div>" * 150 + "<p>rest</p></article></div><p>after</p>"
