@@ -200,6 +200,9 @@ def _judge(rows: pa.Table, window: int) -> pa.RecordBatch:
     bucket, doc, tie, word = (rows.column(i).to_numpy() for i in range(4))
     packed = rows.column("packed").to_pylist()
     order = np.lexsort((word, tie, doc, bucket))
+    # a row that is repeated in other blocks sends its super-k-mers again: they are one document's
+    again = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in (bucket, doc, tie, word)])
+    order = order[np.concatenate(([True], ~again))]
     spans = Spans([packed[i] for i in order])
     bucket, doc, tie, word = bucket[order], doc[order], tie[order], word[order]
     windows = spans.counts - window + 1

@@ -66,6 +66,19 @@ def test_substring_dedup_of_repeated_rows_and_empty_table(spark):
     assert substring_dedup.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_substring_dedup_of_rows_repeated_in_other_blocks(spark):
+    text, long = " ".join(f"t{i}" for i in range(30)), " ".join(f"long{i}" for i in range(120_000))
+    assert len(long) > 1 << 20
+    one = table(spark, [(1, text, "en", "a"), (3, long, "en", "a"), (3, long, "en", "a")])
+    other = table(spark, [(2, text, "en", "a"), (1, text, "en", "a"), (3, long, "en", "a")])
+    docs = one.coalesce(1).union(other.coalesce(1))  # no join moves them: suspects are few and broadcast
+    for size in (substring_dedup.GROUP_BYTES, 1):
+        got = sorted((r["doc_id"], r["n_removed"]) for r in substring_dedup.remove_repeats(docs, group_bytes=size).collect())
+        assert got == [(1, 0), (1, 0), (2, 30), (3, 0), (3, 0), (3, 0)]
+    many = table(spark, [(5, text, "en", "a")] * 4_500).coalesce(1)
+    assert substring_dedup.remove_repeats(many).filter("n_removed > 0").count() == 0
+
+
 def test_near_duplicates(spark, corpus):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(table(spark, corpus)).collect()}
     sets = {}
