@@ -318,6 +318,28 @@ def test_licences(spark):
     }
 
 
+def test_licences_by_version_variant_and_wrapped_header(spark):
+    mpl = (
+        "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+        " * file, You can obtain one at http://mozilla.org/MPL/2.0/. */\nint main() { return 0; }\nint other(int x);"
+    )
+    wrap = lambda text: "\n".join("# " + " ".join(text.split()[i : i + 9]) for i in range(0, len(text.split()), 9))
+    full = license_scan.TEMPLATES
+    texts = {
+        "Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Licensed under CC BY-NC-ND 4.0.": None,
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0", "GNU Lesser General Public License, version 3": "LGPL-3.0",
+        "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Preamble\n\nThe licenses for most software": "GPL-3.0",
+        "Mozilla Public License Version 2.0": "MPL-2.0", mpl: "MPL-2.0", "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0",
+        "x = 1\n" + wrap("Copyright (c) 2020 A. Body " + full["BSD-2-Clause"][0]) + "\ny = 2": "BSD-2-Clause",
+        wrap("Copyright (c) 2020 A. Body " + full["BSD-3-Clause"][0]): "BSD-3-Clause",
+        "MIT License\n\nCopyright (c) 2020 A. Body\n\n" + full["MIT"][0]: "MIT", wrap(full["ISC"][0]): "ISC",
+        "Licensed under Creative Commons CC0 1.0 Universal.": "CC0-1.0", "Copyright 2020 A. Body. All rights reserved.": None,
+    }
+    files = [(i, f"d{i}/f.c", t) for i, t in enumerate(texts)]
+    got = {r["file"]: r["licence"] for r in license_scan.licensed(spark.createDataFrame(files, "file long, path string, text string")).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 def test_held_out_is_the_crc_of_the_key(spark):
     from batchgauge.llm.common import held_out
 
