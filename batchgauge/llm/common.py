@@ -52,15 +52,14 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def bounded_sample(df: DataFrame, key: str, stratum: str, per_stratum: int, max_strata: int = 1000) -> DataFrame:
+def bounded_sample(df: DataFrame, key: str, stratum: str, per_stratum: int, max_strata: int | None = 1000) -> DataFrame:
     """About `per_stratum` rows of each stratum (never more), the same on every run.
 
     A count per stratum sets a share of the hash range, so only about twice the bound is
-    ranked per stratum whatever the table's size. At most `max_strata` strata, largest first.
+    ranked per stratum whatever the table's size. At most `max_strata` strata, largest first (None: all).
     """
-    counts = (
-        df.groupBy(stratum).count().orderBy(F.desc("count"), stratum).limit(max_strata).collect()
-    )
+    counts = df.groupBy(stratum).count().orderBy(F.desc("count"), stratum)
+    counts = (counts if max_strata is None else counts.limit(max_strata)).collect()
     spark = df.sparkSession
     shares = spark.createDataFrame(
         [(r[0], min(1.0, 2.0 * per_stratum / max(1, r["count"]) + 1e-9)) for r in counts],

@@ -8,7 +8,8 @@ Forward-backward gives each word's probabilities; a document's language is the o
 largest share of words, and the score is that share.
 
 Learned on the driver from at most `per_language` documents of each language (a documented
-bound; the sample is the same on every run); applied to every word of every whole text.
+bound; the sample is the same on every run), every lang value being a language; the model and
+its time grow with the number of languages. Applied to every word of every whole text.
 
 Defined results: `und` with score 0 for null text, text without a letter, or nothing learned.
 """
@@ -32,7 +33,6 @@ from batchgauge.llm.common import bounded_sample, held_out
 from batchgauge.llm.spans import blocks
 
 PER_LANGUAGE = 120
-MAX_LANGUAGES = 200
 STEPS = 30
 HASHED = 1 << 16
 LEXICON_COUNT = 3
@@ -226,7 +226,7 @@ def trained(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     known = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
-    rows = bounded_sample(known, "doc_id", "lang", per_language, MAX_LANGUAGES).select("doc_id", "text", "lang").collect()
+    rows = bounded_sample(known, "doc_id", "lang", per_language, max_strata=None).select("doc_id", "text", "lang").collect()
     rows.sort(key=lambda r: (hash_of(r["doc_id"]), r["text"], r["lang"]))
     return fit([(r["text"], r["lang"]) for r in rows])
 

@@ -162,6 +162,13 @@ def test_language(spark):
     assert {r["lang_pred"] for r in empty} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:230]
+    docs = table(spark, [(i, "some words", f"l{k}", "a") for k, i in enumerate(ids)])
+    monkeypatch.setattr(language_crf, "fit", lambda sample: {lang for _, lang in sample})
+    assert language_crf.trained(docs) == {f"l{k}" for k in range(230)}
+
+
 def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(2)
     emission, trans, start = rng.normal(size=(5, 2)), rng.normal(size=(2, 2)), rng.normal(size=2)
