@@ -162,6 +162,16 @@ def test_language(spark):
     assert {r["lang_pred"] for r in empty} == {"und"}
 
 
+def test_pipeline_keeps_documents_when_no_language_was_learned(spark):
+    import corpus_pipeline
+
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    rows = [(200, "plain words", None, "a"), (201, "12 ## 3", None, "a"), (202, None, None, "a"), (203, "", None, "a"), (204, "1 été", None, "a")]
+    for more in ([], [(held, "held out", "en", "a")]):
+        got = {r["doc_id"] for r in corpus_pipeline.language(spark, table(spark, rows + more), "").collect()}
+        assert got == {200, 204, *(i for i, *_ in more)}
+
+
 def test_every_language_is_learned(spark, monkeypatch):
     ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:230]
     docs = table(spark, [(i, "some words", f"l{k}", "a") for k, i in enumerate(ids)])
