@@ -15,11 +15,11 @@ MAX_ROUNDS = 60
 
 
 @contextmanager
-def text_batches(spark: SparkSession) -> Iterator[None]:
-    """While an action runs, whole texts go to Python TEXT_ROWS at a time: two tasks then fit a small executor."""
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
+    """While an action runs, whole texts go to Python `rows` at a time: two tasks then fit a small executor."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(TEXT_ROWS))
+    spark.conf.set(key, str(rows))
     try:
         yield
     finally:

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from batchgauge.llm import (
-    chat_format, decontaminate, html_wrappers, jaccard_join, language_crf, license_scan, quality_knn, quality_rules,
-    source_mix, substring_dedup,
+    chat_format, decontaminate, html_wrappers, importance, jaccard_join, language_crf, license_scan, merkle, quality_knn,
+    quality_rules, source_mix, substring_dedup, warc,
 )
 from batchgauge.llm.common import held_out, text_table
+from batchgauge.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +156,126 @@ FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.v = d.doc_id GROUP BY d.doc_id, n.
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(text_table(spark, sf_dir, "documents"))
+
+
+#: The CRC-32 of `bytes`, a list of whole numbers, with the table `crc` of 256 entries.
+_CRC_TABLE = """
+SELECT list(v ORDER BY i) AS crc FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def _crc(text: str) -> str:
+    """SQL for the unsigned CRC-32 of the UTF-8 bytes of a text, next to a column `crc`."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), CAST(2 * j + 1 AS BIGINT), 2) AS BIGINT)"
+    listed = f"list_transform(range(strlen({text})), lambda j: {byte})"
+    step = "lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {listed}), {step}), 4294967295)"
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FEATURE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@query("op11_importance_resampling", f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_FEATURE}') AS w FROM documents),
+f AS (SELECT doc_id, unnest(w) AS g FROM d),
+q AS (SELECT unnest(regexp_extract_all({_LOWER}, '{_FEATURE}')) AS g FROM benchmark),
+m AS ({_CRC_TABLE}),
+b AS (SELECT g, {_crc("g")} % 10000 AS bucket FROM (SELECT DISTINCT g FROM (SELECT g FROM f UNION ALL SELECT g FROM q)), m),
+n AS (SELECT bucket, count(*) AS s FROM f JOIN b USING (g) GROUP BY bucket),
+r AS (SELECT bucket, count(*) AS t FROM q JOIN b USING (g) GROUP BY bucket),
+a AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM n) + 10000)
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM r) + 10000)))) AS gain
+      FROM n FULL JOIN r USING (bucket)),
+v AS (SELECT doc_id, floor(sum(gain) / count(*)) AS weight FROM f JOIN b USING (g) JOIN a USING (bucket) GROUP BY doc_id),
+x AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+          / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN v USING (doc_id)),
+k AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS many FROM x WHERE n_features >= 20)
+SELECT x.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * many // 100 THEN rank END AS rank FROM x LEFT JOIN k USING (doc_id)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the benchmark texts, by single words."""
+    return importance.resampled(text_table(spark, sf_dir, "documents"), text_table(spark, sf_dir, "benchmark"), ngrams=1)
+
+
+@query("op12_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+k AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS keeper FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM k
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record: responses are read back with their payload, revisits by their headers alone."""
+    folder = scratch_folder(spark, "warc")
+    warc.write(warc.page_records(text_table(spark, sf_dir, "pages"), "page_id", "url", "html", "2024-01-01T00:00:00Z"), folder)
+    whole = warc.read(spark, folder, ["record_type", "record_id", "payload"]).filter("record_type = 'response'")
+    again = warc.read(spark, folder, ["record_type", "record_id", "payload_digest", "payload_length", "refers_to"])
+    key = lambda name: warc.page_key(name).try_cast("long")
+    return whole.select(
+        key("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"),
+    ).unionByName(again.filter("record_type = 'revisit'").select(
+        key("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type",
+        key("refers_to").alias("refers_to"),
+    ))
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _way(name: str, start: str, nodes: str, on: str) -> str:
+    """SQL for going up a tree: `way` holds the siblings met so far, `h` what they give."""
+    return f"""
+{name} AS ({start}
+  UNION ALL
+  SELECT p.doc_id, p.tree, p.level + 1, p.idx // 2,
+         CASE WHEN p.idx % 2 = 1 THEN sha256(s.h || p.h) ELSE sha256(p.h || coalesce(s.h, '')) END, p.way || coalesce(s.h, '')
+  FROM {name} p JOIN {nodes}_height e ON {on} AND p.level < e.level
+  LEFT JOIN {nodes} s ON s.tree IS NOT DISTINCT FROM p.tree AND s.level = p.level AND s.idx = xor(p.idx, 1))"""
+
+
+@query("op13_merkle", f"""
+WITH RECURSIVE m AS ({_CRC_TABLE}),
+d AS (SELECT doc_id, lang AS tree, {_leaf("n_chars")} AS leaf,
+        CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS held,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS idx FROM documents, m),
+t AS (
+  SELECT tree, 0 AS level, idx, leaf AS h FROM d
+  UNION ALL
+  SELECT tree, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS many FROM t) WHERE many > 1 GROUP BY tree, level, idx // 2),
+t_height AS (SELECT tree, max(level) AS level FROM t GROUP BY tree),
+s AS (SELECT t.tree, t.h AS subroot, row_number() OVER (ORDER BY t.tree NULLS FIRST) - 1 AS idx
+      FROM t JOIN t_height e ON t.tree IS NOT DISTINCT FROM e.tree AND t.level = e.level),
+u AS (
+  SELECT 'top' AS tree, 0 AS level, idx, subroot AS h FROM s
+  UNION ALL
+  SELECT tree, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS many FROM u) WHERE many > 1 GROUP BY tree, level, idx // 2),
+u_height AS (SELECT max(level) AS level FROM u),
+{_way("p", "SELECT doc_id, tree, 0 AS level, idx, held AS h, '' AS way FROM d", "t", "p.tree IS NOT DISTINCT FROM e.tree")},
+pe AS (SELECT p.doc_id, p.tree AS lang, s.idx, p.h, p.way FROM p JOIN t_height e ON p.tree IS NOT DISTINCT FROM e.tree AND p.level = e.level
+       JOIN s ON s.tree IS NOT DISTINCT FROM p.tree),
+{_way("o", "SELECT doc_id, 'top' AS tree, 0 AS level, idx, h, way FROM pe", "u", "true")},
+root AS (SELECT h AS root FROM u JOIN u_height USING (level))
+SELECT d.doc_id, d.leaf, s.subroot, root.root, sha256(o.way) AS proof_sha256, o.h AS folded_root, o.h = root.root AS verified
+FROM d JOIN s ON s.tree IS NOT DISTINCT FROM d.tree JOIN o ON o.doc_id = d.doc_id JOIN u_height e ON o.level = e.level, root
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a leaf of its language's tree; one proof in seven is held against a changed n_chars."""
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    more = {"n_chars": F.expr("try_add(n_chars, 1L)")}
+    found = merkle.tampered_proofs(
+        text_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", more, changed
+    )
+    return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
