@@ -101,16 +101,26 @@ def exact_quantiles(
     """
     columns = list(columns)
     found = cut_points(df, columns, cells)
-    asked = double_array(probs)
     keys = [*by, "idx"]
     values = exploded(df, columns, by).filter(F.col("value").isNotNull())
     placed = with_cell(values, [found.get(c, []) for c in columns], F.col("idx"))
+    wanted = cells_of_quantiles(placed.groupBy(*keys, "cell").agg(F.count("*").alias("n")), probs, keys)
+    if 2 * len(probs) * len(columns) * by_groups <= _BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    counted = (
+        placed.join(wanted, [*keys, "cell"])
+        .groupBy(*keys, "cell", "value", "total", "before").agg(F.count("*").alias("n"))
+    )
+    return quantiles_in_cells(counted, probs, keys, columns)
 
+
+def cells_of_quantiles(counts: DataFrame, probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """From (keys…, cell, n): the cells that hold a wanted rank, with the values in all cells and in those below."""
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (
-        placed.groupBy(*keys, "cell").agg(F.count("*").alias("n"))
-        .select(
+    asked = double_array(probs)
+    return (
+        counts.select(
             *keys, "cell", "n",
             F.sum("n").over(group).alias("total"),
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
@@ -118,17 +128,19 @@ def exact_quantiles(
         .filter(F.size(_within(_wanted_ranks(asked, F.col("total")), F.col("before"), F.col("n"))) > 0)
         .drop("n")
     )
-    if 2 * len(probs) * len(columns) * by_groups <= _BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
 
+
+def quantiles_in_cells(
+    counted: DataFrame, probs: Sequence[float], keys: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """From (keys…, cell, value, total, before, n) of the wanted cells: keys but idx…, column, n, quantiles, below."""
+    asked = double_array(probs)
     in_cell = Window.partitionBy(*keys, "cell").orderBy("value")
     start = F.col("before") + F.coalesce(
         F.sum("n").over(in_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     picked = (
-        placed.join(wanted, [*keys, "cell"])
-        .groupBy(*keys, "cell", "value", "total", "before").agg(F.count("*").alias("n"))
-        .withColumn("start", start)
+        counted.withColumn("start", start)
         .withColumn("ranks", _within(_wanted_ranks(asked, F.col("total")), F.col("start"), F.col("n")))
         .filter(F.size("ranks") > 0)
         .select(*keys, "total", F.explode("ranks").alias("rank"), F.struct("value", "start").alias("found"))
@@ -140,6 +152,7 @@ def exact_quantiles(
     )
     at, n = F.col("at"), F.col("n")
     name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("idx"))
+    by = [k for k in keys if k != "idx"]
     points = ranked.select(
         *[col(b) for b in by], name.alias("column"), "n",
         F.transform(asked, lambda p: _interpolate(at, n, p)).alias("points"),

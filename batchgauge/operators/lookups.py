@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from batchgauge.functions.columns import col
+from batchgauge.session import written
 
 
 def join_labels(
@@ -24,21 +25,30 @@ def join_labels(
     return scored.join(known, [*ids, "run_date"])
 
 
+#: Aliases that go to every task; more of them are joined by a shuffle as the numbers are.
+BROADCAST_ALIASES = 500_000
+
+
 def resolve_models(requests: DataFrame, versions: DataFrame) -> DataFrame:
     """Requests (name, version, …) with the version row they mean, or NULL if there is none.
 
     A version of digits is a version number; anything else is an alias. ``versions`` has
-    name, version, and aliases (an array); one alias points to one version of a model.
+    name, version, and aliases (an array); one alias points to one version of a model. Nearly all requests may ask for
+    one alias of one model: aliases, a few per model, go to every task after a check of their number, and only requests for
+    numbers, which spread over the versions, are shuffled.
     """
-    by_number = versions.select(
+    numbers = versions.select(
         "name", F.col("version").cast("string").alias("version"), F.col("version").alias("resolved_version")
     )
-    by_alias = versions.select("name", F.explode("aliases").alias("version"), F.col("version").alias("resolved_version"))
-    is_number = F.col("version").rlike("^[0-9]+$")
-    targets = by_number.withColumn("numbered", F.lit(True)).unionByName(
-        by_alias.withColumn("numbered", F.lit(False))
+    aliases = written(
+        versions.select("name", F.explode("aliases").alias("version"), F.col("version").alias("resolved_version")), "aliases"
     )
-    return requests.withColumn("numbered", is_number).join(targets, ["name", "version", "numbered"], "left").drop("numbered")
+    if aliases.count() <= BROADCAST_ALIASES:
+        aliases = F.broadcast(aliases)
+    is_number = F.coalesce(F.col("version").rlike("^[0-9]+$"), F.lit(False))
+    by_number = requests.filter(is_number).join(numbers, ["name", "version"], "left")
+    by_alias = requests.filter(~is_number).join(aliases, ["name", "version"], "left")
+    return by_number.unionByName(by_alias)
 
 
 def active_projects(registry: DataFrame) -> DataFrame:

@@ -1,30 +1,43 @@
 """Evaluation metrics as aggregates, for all groups of a batch at once.
 
 Three passes cover the thirteen metrics: one fused aggregate, one confusion table,
-and one ranking of scores. A metric whose inputs are missing or degenerate is NULL,
+and one count of scores that is then ranked. A metric whose inputs are missing or degenerate is NULL,
 which fails its threshold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, NumericType, StringType
 
-from batchgauge.config import ADDED_METRICS, EvalSpec, lower_is_better
+from batchgauge.config import ADDED_METRICS, RANKED_METRICS, EvalSpec, lower_is_better
 from batchgauge.functions.columns import col, missing
-from batchgauge.functions.quantiles import cut_points, with_cell
+from batchgauge.functions.ranges import ROWS_PER_RANGE, running_sums
+from batchgauge.session import written
 
 _FUSED = ("accuracy", "log_loss", "mse", "rmse", "r2", "mae")
 _CONFUSION = ("f1_macro", "f1_weighted", "precision_macro", "recall_macro")
 _RANKED = ("auc_roc", "ks_statistic", "gini")
 
+# Fixed value: why a threshold fails that has no value.
+NO_VALUE = "metric computation failed"
 # Fixed value: scores are kept this far from 0 and 1 before the logarithm.
 LOG_LOSS_EPS = 2.220446049250313e-16
 
 Scores = str | Mapping[object, str]
 
+#: Groups whose label bounds go to every task.
+BROADCAST_GROUPS = 100_000
+
+
+def plain_labels(df: DataFrame, *names: str | None) -> DataFrame:
+    """``df`` with boolean columns among ``names`` as 0 and 1."""
+    flags = [n for n in names if n is not None and isinstance(df.schema[n].dataType, BooleanType)]
+    return df.withColumns({n: col(n).cast("int") for n in flags}) if flags else df
+
 
 def _valid(df: DataFrame, names: Sequence[str]) -> Column:
     """True for a group in which none of the columns is ever missing."""
@@ -39,6 +52,7 @@ def pointwise_metrics(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """by… and one column per wanted metric of accuracy, log_loss, mse, rmse, r2, mae."""
+    df = plain_labels(df, y_true, y_pred)
     out: dict[str, Column] = {}
     t = col(y_true)
     if y_pred is not None:
@@ -88,6 +102,7 @@ def _log_loss(df: DataFrame, y_true: str, y_proba: Scores) -> Column:
 
 def confusion_counts(df: DataFrame, y_true: str, y_pred: str, by: Sequence[str] = ()) -> DataFrame:
     """by…, y_true, y_pred, n: classes squared rows per group."""
+    df = plain_labels(df, y_true, y_pred)
     truth, told = col(y_true), col(y_pred)
     kinds = [df.schema[c].dataType for c in (y_true, y_pred)]
     if kinds[0] != kinds[1] and all(isinstance(k, NumericType) for k in kinds):
@@ -128,7 +143,11 @@ def confusion_metrics(
     if _is_text(df, y_true) != _is_text(df, y_pred):
         none = [F.lit(None).cast("double").alias(m) for m in _CONFUSION]
         return df.groupBy(*by).agg(F.count("*").alias("_n")).select(*by, *none)
-    labels = label_scores(confusion_counts(df, y_true, y_pred, by), by)
+    return averaged_label_scores(label_scores(confusion_counts(df, y_true, y_pred, by), by), by)
+
+
+def averaged_label_scores(labels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """by…, f1_macro, f1_weighted, precision_macro, recall_macro of the scores per label."""
     good = F.count_if("bad") == 0
     return labels.groupBy(*by).agg(
         F.when(good, F.avg("f1")).alias("f1_macro"),
@@ -139,62 +158,160 @@ def confusion_metrics(
 
 
 def ranked_metrics(
-    df: DataFrame, y_true: str, score: str, by: Sequence[str] = (), positive=1, negative=0
+    df: DataFrame, y_true: str, score: str, by: Sequence[str] = (), positive=1, negative=0,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """by…, auc_roc, ks_statistic, gini of a score against a two-class label.
 
-    Scores are counted per distinct value, then ordered inside cells between
-    approximate quantiles, and each cell is lifted by the totals of the cells below.
-    No task sorts more than one cell, and ties (any number of them) are one row.
+    Scores are counted per distinct value in one read, so ties of any number are one row. More distinct
+    scores than ``rows_per_range`` are summed in ranges, as many as they need.
     """
-    t, s = col(y_true), col(score).cast("double")
+    df = plain_labels(df, y_true)
+    t = col(y_true)
     points = df.select(
-        *[col(b) for b in by],
-        F.when(~missing(df, score), s).alias("value"),
-        F.when(t == F.lit(positive), 1).otherwise(0).alias("pos"),
-        F.when(t == F.lit(negative), 1).otherwise(0).alias("neg"),
-        missing(df, score).alias("unscored"),
-    )
-    cuts = cut_points(points, ["value"]).get("value", [])
-    points = with_cell(points, [cuts], F.lit(0))
-    tied = points.groupBy(*by, "cell", "value").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-        F.count_if(F.col("unscored") & (F.col("pos") + F.col("neg") == 1)).alias("bad"),
-        F.count_if(F.col("pos") + F.col("neg") == 0).alias("other"),
+        *[col(b) for b in by], _score(df, score).alias("value"),
+        F.coalesce((t == F.lit(positive)).cast("int"), F.lit(0)).alias("pos"),
+        F.coalesce((t == F.lit(negative)).cast("int"), F.lit(0)).alias("neg"),
     )
-    group = Window.partitionBy(*(by or [F.lit(0)]))
-    below = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    # From the points again: a second scan, but its counts combine before they are shuffled.
-    lifts = points.groupBy(*by, "cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
-        *by, "cell", F.lit(0).alias("point"),
-        F.coalesce(F.sum("p").over(below), F.lit(0)).alias("pos"),
-        F.coalesce(F.sum("n").over(below), F.lit(0)).alias("neg"),
-        F.sum("p").over(group).alias("all_pos"), F.sum("n").over(group).alias("all_neg"),
-    )
-    # The first row of a cell brings what lies below it, so the running sums need no join.
-    in_cell = Window.partitionBy(*by, "cell").orderBy("point", "value").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = (
-        tied.withColumn("point", F.lit(1)).unionByName(lifts, allowMissingColumns=True)
-        .withColumns({
-            "pos_upto": F.sum("pos").over(in_cell), "neg_upto": F.sum("neg").over(in_cell),
-            "pos_all": F.nullif(F.first("all_pos").over(in_cell), F.lit(0)),
-            "neg_all": F.nullif(F.first("all_neg").over(in_cell), F.lit(0)),
-        })
-        .filter(F.col("point") == 1)
+    tied = points.groupBy(*by, "value").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count_if(F.col("pos") + F.col("neg") == 0).alias("other"),
     )
+    return area_and_gap(tied.withColumns({"one": F.col("pos"), "zero": F.col("neg")}), by, rows_per_range)
+
+
+def _score(df: DataFrame, score: str) -> Column:
+    return F.when(~missing(df, score), col(score).cast("double"))
+
+
+def area_and_gap(tied: DataFrame, by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """by…, auc_roc, ks_statistic, gini from counts per distinct score (by…, value, pos, neg, other, one, zero).
+
+    A NULL value holds the rows without a score. pos and neg are the two classes, ``other`` the rows of neither; one and zero are
+    those that ks_statistic compares.
+    """
+    ordered = running_sums(written(tied, "tied-scores"), ["value"], ["pos", "neg", "one", "zero"], by, rows_per_range, "scores")
+    unscored = F.col("value").isNull()
+    all_of = {n: F.nullif(F.col(f"{n}_all"), F.lit(0)) for n in ("pos", "neg", "one", "zero")}
     neg_before = F.col("neg_upto") - F.col("neg")
-    share = F.col("pos") / F.col("pos_all") * ((neg_before + F.col("neg") / 2) / F.col("neg_all"))
-    gap = F.col("pos_upto") / F.col("pos_all") - F.col("neg_upto") / F.col("neg_all")
+    share = F.col("pos") / all_of["pos"] * ((neg_before + F.col("neg") / 2) / all_of["neg"])
+    gap = F.abs(F.col("one_upto") / all_of["one"] - F.col("zero_upto") / all_of["zero"])
     out = ordered.groupBy(*by).agg(
-        F.sum(share).alias("auc"), F.max(F.abs(gap)).alias("gap"),
-        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("other"), F.lit(0)).alias("other"),
+        F.sum(share).alias("auc"), F.max(gap).alias("gap"),
+        F.coalesce(F.sum(F.when(unscored, F.col("pos") + F.col("neg"))), F.lit(0)).alias("bad"),
+        F.coalesce(F.sum(F.when(unscored, F.col("one") + F.col("zero"))), F.lit(0)).alias("bad_gap"),
+        F.coalesce(F.sum("other"), F.lit(0)).alias("other"),
     )
     auc = F.when((F.col("bad") == 0) & (F.col("other") == 0), F.col("auc"))
     # Without one of the classes the gap is 0; a missing score of either class makes it NULL.
-    ks = F.when(F.col("gap").isNull(), F.lit(0.0)).when(F.col("bad") == 0, F.col("gap"))
+    ks = F.when(F.col("gap").isNull(), F.lit(0.0)).when(F.col("bad_gap") == 0, F.col("gap"))
     return out.select(*by, auc.alias("auc_roc"), ks.alias("ks_statistic"), (2 * auc - 1).alias("gini"))
 
 
+@dataclass(frozen=True)
+class Tied:
+    """What a ranked metric knows at one distinct score: rows of either class there, from there upwards, and in all.
+
+    ``sums``, ``sums_above`` and ``sums_all`` hold the metric's own per-row columns the same way.
+    """
+
+    value: Column
+    pos: Column
+    neg: Column
+    pos_above: Column
+    neg_above: Column
+    pos_all: Column
+    neg_all: Column
+    sums: Mapping[str, Column]
+    sums_above: Mapping[str, Column]
+    sums_all: Mapping[str, Column]
+
+
+def labelled_scores(
+    df: DataFrame, y_true: str, score: str, by: Sequence[str] = (), sums: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """(by…, value, pos, neg, other, one, zero, sums…) per distinct score, from one read.
+
+    Of the two labels of a group the greater is positive, whatever their type; one and zero count the numbers 1 and 0.
+    """
+    df = plain_labels(df, y_true)
+    label = F.when(~missing(df, y_true), col(y_true))
+    sums = dict(sums or {})
+    counted = written(
+        df.select(*[col(b) for b in by], _score(df, score).alias("value"), label.alias("label"),
+                  *[s.cast("double").alias(f"_sum_{k}") for k, s in sums.items()])
+        .groupBy(*by, "value", "label").agg(F.count("*").alias("n"), *[F.sum(f"_sum_{k}").alias(f"_sum_{k}") for k in sums]),
+        "labelled-scores",
+    )
+    bounds = counted.groupBy(*by).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    if by:
+        bounds = written(bounds.withColumnsRenamed({b: f"_by_{i}" for i, b in enumerate(by)}), "label-bounds")
+        same = [F.col(b).eqNullSafe(F.col(f"_by_{i}")) for i, b in enumerate(by)]
+        rows = counted.join(F.broadcast(bounds) if bounds.count() <= BROADCAST_GROUPS else bounds, same)
+    else:
+        kind = counted.schema["label"].dataType
+        rows = counted.withColumns({name: F.lit(value).cast(kind) for name, value in bounds.first().asDict().items()})
+    high = F.coalesce(F.col("label") == F.col("high"), F.lit(False))
+    low = F.coalesce((F.col("label") == F.col("low")) & (F.col("low") != F.col("high")), F.lit(False))
+    text = isinstance(df.schema[y_true].dataType, StringType)
+
+    def number(k: int) -> Column:
+        return F.lit(False) if text else F.coalesce(F.col("label").cast("double") == F.lit(float(k)), F.lit(False))
+
+    def rows_where(test: Column) -> Column:
+        return F.sum(F.when(test, F.col("n")).otherwise(F.lit(0)))
+
+    return rows.groupBy(*by, "value").agg(
+        rows_where(high).alias("pos"), rows_where(low).alias("neg"), rows_where(~high & ~low).alias("other"),
+        rows_where(number(1)).alias("one"), rows_where(number(0)).alias("zero"),
+        *[F.coalesce(F.sum(f"_sum_{k}"), F.lit(0.0)).alias(f"_sum_{k}") for k in sums],
+    )
+
+
+def added_ranked_metrics(
+    df: DataFrame, names: Sequence[str], y_true: str, y_pred: str | None, score: str, by: Sequence[str] = (),
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """by… and one column per metric of ``config.add_ranked_metric``; NULL where a row has no score or no class."""
+    rows = {
+        f"{i}_{k}": build(y_true, y_pred, score) for i, m in enumerate(names) for k, build in RANKED_METRICS[m].per_row.items()
+    }
+    tied = written(labelled_scores(df, y_true, score, by, rows), "tied-scores")
+    added = [f"_sum_{k}" for k in rows]
+    ordered = running_sums(tied, ["value"], ["pos", "neg", *added], by, rows_per_range, "scores")
+
+    def above(name: str) -> Column:
+        return F.col(f"{name}_all") - F.col(f"{name}_upto") + F.col(name)
+
+    aggregates, finals = [], []
+    for i, m in enumerate(names):
+        own = {k: f"_sum_{i}_{k}" for k in RANKED_METRICS[m].per_row}
+        point = Tied(
+            F.col("value"), F.col("pos"), F.col("neg"), above("pos"), above("neg"), F.col("pos_all"), F.col("neg_all"),
+            {k: F.col(c) for k, c in own.items()}, {k: above(c) for k, c in own.items()}, {k: F.col(f"{c}_all") for k, c in own.items()},
+        )
+        parts = RANKED_METRICS[m].per_score(point)
+        aggregates += [c.alias(f"_{i}_{k}") for k, c in parts.items()]
+        finals.append(F.when(F.col("_sound"), RANKED_METRICS[m].final({k: F.col(f"_{i}_{k}") for k in parts})).cast("double").alias(m))
+    sound = (F.coalesce(F.sum("other"), F.lit(0)) == 0) & (F.count_if(F.col("value").isNull()) == 0)
+    return ordered.groupBy(*by).agg(sound.alias("_sound"), *aggregates).select(*by, *finals)
+
+
+def two_class_log_loss(df: DataFrame, y_true: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """by…, log_loss of the score of the greater label; both labels' losses are summed before it is known which is greater."""
+    df = plain_labels(df, y_true)
+    label, s = F.when(~missing(df, y_true), col(y_true)), _score(df, score)
+
+    def loss(p: Column) -> Column:
+        return F.sum(-F.ln(F.least(F.greatest(p, F.lit(LOG_LOSS_EPS)), F.lit(1 - LOG_LOSS_EPS))))
+
+    per_label = df.groupBy(*[col(b) for b in by], label.alias("label")).agg(
+        F.count("*").alias("n"), loss(s).alias("if_high"), loss(1 - s).alias("if_low"), F.count_if(s.isNull()).alias("bad"),
+    )
+    first, last = F.min(F.struct("label", "if_low"))["if_low"], F.max(F.struct("label", "if_high"))["if_high"]
+    sound = (F.count("*") == 2) & (F.count("label") == 2) & (F.sum("bad") == 0)
+    return per_label.groupBy(*by).agg(F.when(sound, (first + last) / F.sum("n")).alias("log_loss"))
+
+
 def one_vs_rest_auc(
     df: DataFrame, y_true: str, scores: Mapping[object, str], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -225,37 +342,6 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, StringType)
 
 
-def _is_zero_one(df: DataFrame, y_true: str) -> bool:
-    """Whether all labels are the numbers 0 and 1; reads the label column only."""
-    return not _is_text(df, y_true) and df.filter(~missing(df, y_true) & ~col(y_true).cast("double").isin(0.0, 1.0)).isEmpty()
-
-
-def two_class_label(df: DataFrame, y_true: str, by: Sequence[str] = (), name: str = "two_class_label") -> DataFrame:
-    """``df`` with column ``name``: 1 for the greater label of its group, 0 for the smaller, 2 for any other.
-
-    Labels may be text or numbers. A missing label stays missing.
-    """
-    label = F.when(~missing(df, y_true), col(y_true))
-    bounds = df.groupBy(*[col(b) for b in by]).agg(F.min(label).alias("_low"), F.max(label).alias("_high"))
-    if by:
-        keys = bounds.withColumnsRenamed({b: f"_by_{i}" for i, b in enumerate(by)})
-        same = [col(b).eqNullSafe(F.col(f"_by_{i}")) for i, b in enumerate(by)]
-        rows = df.join(keys, same).drop(*[f"_by_{i}" for i in range(len(by))])
-    else:
-        low, high = bounds.first()
-        kind = df.schema[y_true].dataType
-        rows = df.withColumns({"_low": F.lit(low).cast(kind), "_high": F.lit(high).cast(kind)})
-    code = F.when(label == F.col("_high"), 1).when(label == F.col("_low"), 0).when(label.isNotNull(), 2)
-    return rows.withColumn(name, code).drop("_low", "_high")
-
-
-def _ks(df: DataFrame, y_true: str, score: str, by: Sequence[str]) -> DataFrame:
-    """by…, ks_statistic: of label 1 against label 0; text labels are neither, so 0."""
-    if _is_text(df, y_true):
-        return df.groupBy(*by).agg(F.count("*").alias("_n")).select(*by, F.lit(0.0).alias("ks_statistic"))
-    return ranked_metrics(df, y_true, score, by).select(*by, "ks_statistic")
-
-
 def evaluate(
     df: DataFrame,
     metrics: Sequence[str],
@@ -268,9 +354,10 @@ def evaluate(
 
     ``y_proba`` is a score column for the positive class, or class -> score column. Of two
     labels the greater is positive for auc_roc, gini and log_loss; ks_statistic is always
-    of label 1 against label 0. A mapping of one class ranks nothing: those are NULL.
+    of label 1 against label 0. A mapping of one class ranks nothing: those are NULL. Boolean labels count as 0 and 1.
     """
     EvalSpec(metrics=tuple(metrics))
+    df = plain_labels(df, y_true, y_pred)
     binary = y_proba if isinstance(y_proba, str) or y_proba is None else None
     second = None
     if isinstance(y_proba, Mapping) and len(y_proba) > 1:
@@ -278,13 +365,9 @@ def evaluate(
         binary = second if len(y_proba) == 2 else None
     parts = []
     fused = [m for m in metrics if m in _FUSED]
-    coded, code = df, y_true
-    if binary is not None and {"auc_roc", "gini", "log_loss"} & set(metrics) and not _is_zero_one(df, y_true):
-        code = "two_class_label"
-        coded = two_class_label(df, y_true, by, code)
-        if "log_loss" in fused and isinstance(y_proba, str):
-            fused.remove("log_loss")
-            parts.append((pointwise_metrics(coded, code, None, y_proba, ["log_loss"], by), ["log_loss"]))
+    if "log_loss" in fused and binary is not None and isinstance(y_proba, str):
+        fused.remove("log_loss")
+        parts.append((two_class_log_loss(df, y_true, y_proba, by), ["log_loss"]))
     if fused:
         parts.append((pointwise_metrics(df, y_true, y_pred, y_proba, fused, by), fused))
     added = [m for m in metrics if m in ADDED_METRICS]
@@ -296,19 +379,17 @@ def evaluate(
     if table and y_pred is not None:
         parts.append((confusion_metrics(df, y_true, y_pred, by), table))
     ranked = [m for m in metrics if m in _RANKED]
-    if ranked and binary is not None and code == y_true and not _is_text(df, y_true):
-        parts.append((ranked_metrics(df, y_true, binary, by), ranked))
-    elif ranked and binary is not None:
-        sided = [m for m in ranked if m != "ks_statistic"]
-        if sided:
-            parts.append((ranked_metrics(coded, code, binary, by), sided))
-        if "ks_statistic" in ranked:
-            parts.append((_ks(df, y_true, binary, by), ["ks_statistic"]))
+    if ranked and binary is not None:
+        parts.append((area_and_gap(labelled_scores(df, y_true, binary, by), by), ranked))
     elif ranked and second is not None:
         auc = one_vs_rest_auc(df, y_true, y_proba, by).withColumn("gini", 2 * F.col("auc_roc") - 1)
         parts.append((auc, [m for m in ranked if m != "ks_statistic"]))
         if "ks_statistic" in ranked:
-            parts.append((_ks(df, y_true, second, by), ["ks_statistic"]))
+            gap = area_and_gap(labelled_scores(df, y_true, second, by), by)
+            parts.append((gap.select(*by, "ks_statistic"), ["ks_statistic"]))
+    own = [m for m in metrics if m in RANKED_METRICS]
+    if own and binary is not None:
+        parts.append((added_ranked_metrics(df, own, y_true, y_pred, binary, by), own))
     covered = {m for _, names in parts for m in names}
     rest = [m for m in metrics if m not in covered]
     if rest:
@@ -345,7 +426,7 @@ def threshold_checks(results: DataFrame, thresholds: Mapping[str, float], by: Se
     return rows.select(
         *by, "metric", value.alias("value"), "threshold",
         F.coalesce(met, F.lit(False)).alias("passed"),
-        F.when(value.isNull(), F.lit("metric computation failed")).alias("reason"),
+        F.when(value.isNull(), F.lit(NO_VALUE)).alias("reason"),
     )
 
 

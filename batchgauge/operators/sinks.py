@@ -9,12 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from batchgauge.config import ColumnSpec, Project
 from batchgauge.functions.columns import col
 from batchgauge.operators.sampling import sample_rows
+from batchgauge.sources.readers import read_separated
+
+#: Bound on the filter of stored keys that goes to every task, and the bits a key sets in it.
+FILTER_BYTES = 32 << 20
+_HASHES = 6
 
 # The columns of the platform tables.
 RUN_LOG = T.StructType([
@@ -51,6 +58,7 @@ DRIFT_LOG = T.StructType([
     T.StructField("psi", T.DoubleType()),
     T.StructField("severity", T.StringType()),
     T.StructField("message", T.StringType()),
+    T.StructField("created_at", T.TimestampType()),
 ])
 ALERT_LOG = T.StructType([
     T.StructField("project_id", T.StringType()),
@@ -59,6 +67,16 @@ ALERT_LOG = T.StructType([
     T.StructField("severity", T.StringType()),
     T.StructField("n_failed", T.LongType()),
     T.StructField("message", T.StringType()),
+    T.StructField("created_at", T.TimestampType()),
+])
+# How many values of a feature fell into each cell on a day; a NULL cell counts the missing ones.
+FEATURE_LOG = T.StructType([
+    T.StructField("project_id", T.StringType()),
+    T.StructField("run_date", T.DateType()),
+    T.StructField("column", T.StringType()),
+    T.StructField("cell", T.DoubleType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("created_at", T.TimestampType()),
 ])
 PLATFORM_TABLES = ("run_log", "monitoring_log", "project_registry")
 _LOG_TABLES = {
@@ -67,6 +85,7 @@ _LOG_TABLES = {
     "project_registry": (PROJECT_REGISTRY, []),
     "drift_log": (DRIFT_LOG, ["project_id"]),
     "alert_log": (ALERT_LOG, ["project_id"]),
+    "feature_log": (FEATURE_LOG, ["project_id"]),
 }
 
 
@@ -147,9 +166,53 @@ def dedup_keys(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
     ])
 
 
-def unseen_keys(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the stored table yet."""
-    return df.join(stored.select(*[col(k) for k in keys]), list(keys), "left_anti")
+def unseen_keys(df: DataFrame, stored: DataFrame, keys: Sequence[str], filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """Rows whose key is not in the stored table yet.
+
+    The stored keys make a Bloom filter of at most ``filter_bytes``, which goes to every task of the batch: rows it has never seen
+    are unseen for sure, and only what it lets pass is joined with the stored keys. ``df`` is read
+    twice, once for each part.
+    """
+    known = stored.select(*[col(k) for k in keys])
+    if known.isEmpty():
+        return df
+    seen = _bloom_test(known, keys, filter_bytes)
+    return df.filter(~seen).unionByName(df.filter(seen).join(known.distinct(), list(keys), "left_anti"))
+
+
+def _positions(keys: Sequence[str], bits: int) -> list[Column]:
+    """The bits of a key, from two hashes of it. A key with a NULL is never equal to another, wherever its bits lie."""
+    one, two = (F.xxhash64(F.lit(seed), *[col(k) for k in keys]) for seed in (1, 2))
+    return [F.pmod(one + F.lit(i) * F.shiftright(two, 8), F.lit(bits)) for i in range(_HASHES)]
+
+
+def _bloom_test(known: DataFrame, keys: Sequence[str], filter_bytes: int) -> Column:
+    """A test that is true for every key of ``known`` and for few others.
+
+    Collected: the filter's words, at most ``filter_bytes`` of them. About ten bits a key, as long as these fit.
+    """
+    spark = known.sparkSession
+    bits = 64
+    while bits < min(10 * known.count(), 8 * filter_bytes):
+        bits *= 2
+    words = (
+        known.select(F.explode(F.array(*_positions(keys, bits))).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("set")).toArrow()
+    )
+    table = np.zeros(bits // 64, np.uint64)
+    table[words["word"].to_numpy()] = words["set"].to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def passes(*at: pd.Series) -> pd.Series:
+        out = np.ones(len(at[0]), bool)
+        for bit in at:
+            spot = bit.to_numpy().astype(np.uint64)
+            out &= (shared.value[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return pd.Series(out)
+
+    return passes(*_positions(keys, bits))
 
 
 def stored_dates(stored: DataFrame, dates: Sequence[str | date]) -> list[date]:
@@ -167,6 +230,15 @@ def _write_dates(df: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def _new_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, of its first date in the batch, and none of a key that other dates have stored."""
+    fresh = unseen_keys(rows, others, keys)
+    # the first date, then the greatest of the other columns
+    order = F.struct(F.negative(F.unix_date("run_date")).alias("_first"), *[col(c) for c in rows.columns if c not in keys])
+    kept = fresh.groupBy(*[col(k) for k in keys]).agg(F.max(order).alias("_row"))
+    return kept.select(*[col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in rows.columns])
+
+
 def save_dates(
     store: Store, df: DataFrame, project: Project, dates: Sequence[str | date],
     created_at: datetime | Column | None = None,
@@ -174,7 +246,8 @@ def save_dates(
     """Write the rows of ``dates`` in one job: date -> 'success' or 'skipped'.
 
     In mode ``replace_date`` the dates are overwritten, a date without rows being
-    cleared. In any other mode dates that have rows already are left alone.
+    cleared. In any other mode dates that have rows already are left alone. With a ``dedup_key`` of scope
+    ``table``, rows whose key another stored date has are left out.
     """
     days = [date.fromisoformat(str(d)) for d in dates]
     schema = store.ensure_result_table(project, df.schema)
@@ -186,12 +259,15 @@ def save_dates(
         stamp = F.current_timestamp() if created_at is None else F.lit(created_at)
         rows = df.filter(F.col("run_date").isin(write)).withColumn("created_at", stamp.cast("timestamp"))
         rows = rows.select(*[col(n) for n in schema.names])
-        if project.output.dedup_key:
-            rows = dedup_keys(rows, list(dict.fromkeys([*project.output.dedup_key, "run_date"])))  # one row per key and date
+        keys = list(project.output.dedup_key)
+        if keys and project.output.dedup_scope == "table":
+            rows = _new_keys(rows, stored.filter(~F.col("run_date").isin(write)), keys)
+        elif keys:
+            rows = dedup_keys(rows, list(dict.fromkeys([*keys, "run_date"])))  # one row per key and date
         _write_dates(rows, path)
         if replacing and present:
-            # Dynamic overwrite leaves a date alone that gets no rows: clear those.
-            filled = set(stored_dates(df, present))
+            # Dynamic overwrite leaves a date alone that gets no rows: clear those that still hold older ones.
+            filled = set(stored_dates(rows if keys else df, present))
             empty = store.spark.createDataFrame([], T.StructType([f for f in schema if f.name != "run_date"]))
             for d in (d for d in present if d not in filled):
                 empty.write.mode("overwrite").parquet(f"{path}/run_date={d.isoformat()}")
@@ -244,8 +320,7 @@ def ingest_csv(
 ) -> DataFrame:
     """Replace a table with a CSV file, or a fixed-size sample of it; the stored table."""
     spark = store.spark
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    rows = reader.csv(csv_path, header=True, inferSchema=schema is None)
+    rows = read_separated(spark, [csv_path], ",", schema)
     if sample_n is not None:
         rows = sample_rows(rows, sample_n, list(key) or rows.columns, seed)
     rows.write.mode("overwrite").parquet(store.path(table))

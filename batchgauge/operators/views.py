@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from batchgauge.functions.columns import col, is_numeric, per_column, present, to_long
-from batchgauge.functions.quantiles import exact_quantiles
+from batchgauge.functions.columns import col, per_column, present
+from batchgauge.functions.ranges import ROWS_PER_RANGE, positioned
+from batchgauge.session import written
 
 _SMALL_LIMIT = 1_000
+#: Keys sampled to bound where a limit ends.
+_SAMPLED_KEYS = 100_000
+#: Columns of one wide aggregate.
+_COLUMNS_A_PASS = 20
 
 
 def project_list(registry: DataFrame) -> DataFrame:
@@ -74,57 +79,81 @@ def check_names(monitoring_log: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
     """column, bin, low, high, n: equal-width right-closed bins; empty bins are kept.
 
-    Two passes: the bounds of every column, then counts that combine before the
-    shuffle. What goes to every task is one row per column.
+    Two reads: the bounds of every column, then one wide conditional aggregate in which they are constants.
+    Collected are two numbers per column.
     """
-    cells = to_long(df, columns).filter(F.col("value").isNotNull())
     bounds = per_column(df, columns, {
         "low": lambda c: F.min(present(df, c)), "high": lambda c: F.max(present(df, c)),
-    }).filter(F.col("low").isNotNull())
-    # A constant column gets a small range around its value, as a plot would.
-    pad = F.when(F.col("low") == 0, F.lit(0.001)).otherwise(F.abs("low") * 0.001)
-    flat = F.col("low") == F.col("high")
-    bounds = bounds.select(
-        "column",
-        F.when(flat, F.col("low") - pad).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + pad).otherwise(F.col("high")).alias("high"),
-    ).withColumn("width", (F.col("high") - F.col("low")) / bins)
-    place = F.ceil((F.col("value") - F.col("low")) / F.col("width")).cast("int")
-    counts = (
-        cells.join(F.broadcast(bounds), "column")
-        .groupBy("column", F.least(F.greatest(place, F.lit(1)), F.lit(bins)).alias("bin"))
-        .agg(F.count("*").alias("n"))
-    )
-    frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
-    return frame.join(counts, ["column", "bin"], "left").select(
-        "column", "bin",
-        (F.col("low") + (F.col("bin") - 1) * F.col("width")).alias("low"),
-        (F.col("low") + F.col("bin") * F.col("width")).alias("high"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-    )
+    }).filter(F.col("low").isNotNull()).collect()
+    ends = {}
+    for r in bounds:
+        low, high = r["low"], r["high"]
+        # A constant column gets a small range around its value, as a plot would.
+        pad = 0.0 if low < high else abs(low) * 0.001 or 0.001
+        ends[r["column"]] = (low - pad, high + pad)
+    names = [c for c in columns if c in ends]
+    out = None
+    for at in range(0, len(names), _COLUMNS_A_PASS):
+        sums, cells = [], []
+        for i, c in enumerate(names[at : at + _COLUMNS_A_PASS]):
+            low, high = ends[c]
+            width = (high - low) / bins
+            place = F.least(F.greatest(F.ceil((present(df, c) - low) / width), F.lit(1)), F.lit(bins))
+            place = F.when(present(df, c).isNotNull(), place)  # greatest() alone would fill in missing values
+            sums += [F.count_if(place == b).alias(f"_{i}_{b}") for b in range(1, bins + 1)]
+            cells += [
+                F.struct(F.lit(c).alias("column"), F.lit(b).alias("bin"), F.lit(low + (b - 1) * width).alias("low"),
+                         F.lit(low + b * width).alias("high"), F.col(f"_{i}_{b}").alias("n"))
+                for b in range(1, bins + 1)
+            ]
+        rows = df.agg(*sums).select(F.inline(F.array(*cells)))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        return df.sparkSession.createDataFrame([], "column string, bin int, low double, high double, n long")
+    return out
 
 
 def top_rows(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
     return df.orderBy(F.desc(by), tie).limit(k)
 
 
-def first_rows(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+def first_rows(df: DataFrame, n: int, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """The first n rows by key: a LIMIT that gives the same rows every time.
 
-    A top-k sends up to n rows of every task to one task. For a large n, rows beyond the
-    n-th value of a numeric first key are filtered out before, a filter that also reaches
-    the scan; only rows that tie on that value are left over.
+    Keys of any types and any number of ties on the first of them. The key at the end of the limit is bounded by a
+    sample of the keys; rows beyond the bound are filtered out, a filter on the first key that also reaches the
+    scan. What is left is ranked in ranges, so that no task gets n rows; a small limit is a plain top-k. Rows
+    equal in all keys are ordered by the other columns.
     """
-    if n > _SMALL_LIMIT and is_numeric(df, keys[0]):
-        df = _not_beyond(df, n, keys[0])
-    return df.orderBy(*[col(k) for k in keys]).limit(n)
-
-
-def _not_beyond(df: DataFrame, n: int, key: str) -> DataFrame:
-    """All rows that can be among the first n by ``key``. Collected: a count and a value."""
-    total = df.agg(F.count(present(df, key))).head()[0]
-    if total <= n + 1:
+    order = [*keys, *[c for c in df.columns if c not in keys and not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]]
+    order = [col(c).asc_nulls_first() for c in order]
+    if n <= _SMALL_LIMIT:
+        return df.orderBy(*order).limit(n)
+    near = written(_not_beyond(df, n, keys), "first-rows")
+    first = positioned(near, order, rows_per_range, "first-places").filter(F.col("pos") < n)
+    return first.orderBy("pos").drop("pos")
+
+
+def _not_beyond(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    """All rows that can be among the first n by ``keys``. Collected: counts, and one key."""
+    total = df.count()
+    share = min(1.0, _SAMPLED_KEYS / max(1, total))
+    if total <= 2 * n:
         return df
-    bound = exact_quantiles(df, [key], [(n + 1) / total]).head()["quantiles"][0]
-    # NULL keys come first in the order.
-    return df.filter(col(key).isNull() | (col(key) <= F.lit(bound)))
+    key = F.struct(*[col(k) for k in keys])
+    drawn = df.select(*[col(k) for k in keys]).sample(share, seed=7)
+    place = n * share
+    while True:
+        # a place well after the expected one; a sample that runs out bounds nothing
+        place = 1.1 * place + 100
+        # Collected: one key of a sample of bounded size.
+        at = drawn.orderBy(*[col(k).asc_nulls_first() for k in keys]).limit(int(place) + 1).tail(1)
+        if not at or place >= total * share:
+            return df
+        bound = F.struct(*[F.lit(at[0][k]).cast(df.schema[k].dataType).alias(k) for k in keys])
+        lead = at[0][keys[0]]
+        # the first key alone is a test that a scan can use; NULL keys come first in the order
+        within = col(keys[0]).isNull() if lead is None else col(keys[0]).isNull() | (col(keys[0]) <= F.lit(lead))
+        near = df.filter(within & (key <= bound))
+        if near.count() >= n:
+            return near

@@ -5,18 +5,24 @@ from __future__ import annotations
 import time
 import warnings
 from collections.abc import Callable, Mapping, Sequence
-from datetime import date, timedelta
+from dataclasses import replace
+from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from batchgauge.config import Project, metric_findings
 from batchgauge.functions.columns import col
-from batchgauge.operators import alerts, drift, gates, lookups, monitor, sinks
+from batchgauge.operators import alerts, drift, gates, lookups, monitor, profiles, sinks, truth
 from batchgauge.operators.scoring import Scorer, scored_batch
 from batchgauge.sources import readers
 
 
+#: Runs that decide whether drift lasts.
+DRIFT_RUNS = 5
+
+
 def scored_input(batch: DataFrame, project: Project, scorer: Scorer, run_date: str | date) -> DataFrame:
     """Check the input's structure, then score it. No rows are read but one."""
     gates.check_input(batch, project.schema)
@@ -63,42 +69,53 @@ def daily_run(
 
 def after_run(
     store: sinks.Store, project: Project, scored: DataFrame, run_date: date,
-    batch: DataFrame | None = None, reference: DataFrame | None = None,
+    batch: DataFrame | None = None, reference: DataFrame | None = None, created_at: datetime | None = None,
 ) -> dict[str, DataFrame]:
     """Write the health checks, alerts and drift of a date to their logs; the same rows by name.
 
-    Drift is checked on features and outputs that ``reference`` has: without one, on the
-    stored scores of the days that the drift settings name. Critical drift, and drift on
-    most of the last runs, are alerts too.
+    Outputs are held against ``reference`` or, without one, against the stored scores of the days that the drift settings
+    name; features against ``reference`` where it has them, else against the feature log of those days, to
+    which this day's cells are added. Critical drift, and drift on most of the last runs, are alerts too. All
+    rows of a run carry one time: a date that ran again counts by its last run.
     """
+    stamp = F.lit(created_at or datetime.now(timezone.utc)).cast("timestamp")
     own_runs = store.read("run_log").filter(F.col("project_id") == project.project_id)
     report = monitor.monitor_report(scored, own_runs, project, [run_date])
-    sinks.log_checks(store, report)
+    sinks.log_checks(store, report, created_at)
     out = {"report": report, "alerts": alerts.alert_messages(report, project.monitoring.alert_channel)}
-    store.append_log("alert_log", out["alerts"])
-    spec = project.monitoring.drift
-    if reference is None and spec.enabled:
+    store.append_log("alert_log", out["alerts"].withColumn("created_at", stamp))
+    spec, features = project.monitoring.drift, project.schema.feature_columns
+    parts = []
+    if spec.enabled and batch is not None:
+        profiles.log_features(store, project, batch, stamp, F.lit(run_date))
+        logged = [c for c in features if reference is None or c not in reference.columns]
+        if logged:
+            found = profiles.drift_from_log(store.read("feature_log"), project, [run_date], logged, spec)
+            parts.append(found.drop("run_date"))
+        if reference is not None:
+            parts.append(drift.drift_check(batch, reference, features, spec))
+    if spec.enabled and reference is None:
         stored = drift.reference_window(store.result(project, scored.schema), run_date, spec.reference_days)
         reference = None if stored.isEmpty() else stored
     if reference is not None:
-        parts = [drift.drift_check(scored, reference, project.schema.output_columns, spec)]
-        if batch is not None:
-            parts.append(drift.drift_check(batch, reference, project.schema.feature_columns, spec))
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        out["drift"] = rows.select(
-            F.lit(project.project_id).alias("project_id"), F.lit(run_date).alias("run_date"), *rows.columns
-        )
-        store.append_log("drift_log", out["drift"])
-        # from here on from the log: a few rows per day
-        past = store.read("drift_log").filter(
-            (F.col("project_id") == project.project_id) & (F.col("run_date") <= F.lit(run_date))
-        ).dropDuplicates(["project_id", "run_date", "column"])
-        today = F.col("run_date") == F.lit(run_date)
-        out["immediate"] = alerts.immediate_alerts(report, past.filter(today))
-        out["sustained"] = drift.sustained_drift(past).filter(today & F.col("sustained"))
-        store.append_log("alert_log", alerts.drift_alerts(
-            out["immediate"], out["sustained"], project.monitoring.alert_channel
-        ))
+        parts.append(drift.drift_check(scored, reference, project.schema.output_columns, spec))
+    if not parts:
+        return out
+    rows = reduce(DataFrame.unionByName, parts)
+    out["drift"] = rows.select(
+        F.lit(project.project_id).alias("project_id"), F.lit(run_date).alias("run_date"), *rows.columns
+    )
+    store.append_log("drift_log", out["drift"].withColumn("created_at", stamp))
+    # from here on from the log: a few rows per day, of the last days only
+    past = store.read("drift_log").filter((F.col("project_id") == project.project_id) & (F.col("run_date") <= F.lit(run_date)))
+    last = [r[0] for r in past.select("run_date").distinct().orderBy(F.desc("run_date")).limit(DRIFT_RUNS).collect()]
+    past = profiles.latest_rows(past.filter(F.col("run_date").isin(last)), ["project_id", "run_date"])
+    today = F.col("run_date") == F.lit(run_date)
+    out["immediate"] = alerts.immediate_alerts(report, past.filter(today))
+    out["sustained"] = drift.sustained_drift(past, of_last=DRIFT_RUNS).filter(today & F.col("sustained"))
+    store.append_log("alert_log", alerts.drift_alerts(
+        out["immediate"], out["sustained"], project.monitoring.alert_channel
+    ).withColumn("created_at", stamp))
     return out
 
 
@@ -146,7 +163,7 @@ def backfill(
 
     With a source that holds all days (``batch``, dated by column ``day``) this is one
     job: score, one aggregate of gates per day, one write of the days that pass, one
-    append to the run log. A source templated by date is run day by day, and so is a
+    append to the run log, and, where drift is watched, one of the features' cells. A source templated by date is run day by day, and so is a
     range in which the scorer raises. A day that fails does not stop the others.
     """
     if replace:
@@ -184,6 +201,10 @@ def backfill(
             saved = store.result(project, scored.schema).filter(F.col("run_date").isin(passing))
             kept = {r["run_date"]: r["count"] for r in saved.groupBy("run_date").count().collect()}
             verdicts = [(d, kept.get(d, n), m) for d, n, m in verdicts]
+        written = [d for d in passing if status[d] == "success"]
+        if project.monitoring.drift.enabled and written:
+            fresh = in_range.withColumn("run_date", col(day).cast("date")).filter(F.col("run_date").isin(written))
+            profiles.log_features(store, project, fresh, F.lit(datetime.now(timezone.utc)).cast("timestamp"))
         return _finish(spark, store, project, verdicts, status, started)
     finally:
         scored.unpersist()
@@ -275,3 +296,21 @@ def preflight(
         except Exception as e:  # reported, not raised
             problems.append(f"a trial scoring did not pass: {e}")
     return problems
+
+
+def take_truth(
+    spark: SparkSession, store: sinks.Store, project: Project, as_of: str | date, prediction: str | None = None,
+    score: str | None = None, labels: DataFrame | None = None,
+) -> DataFrame:
+    """Read the labels that arrive on a day from the source that the settings name, and update the dates they belong to.
+
+    Returns the metrics of all labelled dates (``truth.quality_over_time``).
+    """
+    spec = project.evaluation.ground_truth
+    if spec is None:
+        raise ValueError(f"{project.project_id} names no ground truth")
+    day = date.fromisoformat(str(as_of))
+    if labels is None:
+        labels = readers.fetch(spark, replace(project.input, source=spec.source, query=spec.query), day)
+    truth.add_labels(store, project, labels, day, prediction, score)
+    return truth.quality_over_time(store, project)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -114,33 +114,41 @@ def drift_severity(spark, sf_dir):
     return drift.drift_check(current, reference, FEATURES, ON)
 
 
-# The last five days, each against the 30 days before it.
-ASKED = [date(2024, 1, 26) + timedelta(days=i) for i in range(5)]
-_ASKED_SQL = ", ".join(f"DATE '{d}'" for d in ASKED)
-
-
 @query("psi_rolling_30d", f"""WITH {BATCH_SQL},
-asked AS (SELECT unnest([{_ASKED_SQL}]) AS target), {_psi_sql(
+asked AS (SELECT DISTINCT run_date AS target FROM batch), {_psi_sql(
     "SELECT target AS run_date, \"column\", value FROM asked JOIN ("
     + _long_sql("batch", FEATURES, "run_date,")
     + ") h ON h.run_date >= target - INTERVAL 30 DAY AND h.run_date < target",
-    _long_sql(f"batch WHERE run_date IN ({_ASKED_SQL})", FEATURES, "run_date,"),
+    _long_sql("batch", FEATURES, "run_date,"),
     "run_date,", "run_date,")}
-SELECT run_date, "column", round(psi, 4) AS psi,
-       CASE WHEN psi >= 0.25 THEN 'critical' WHEN psi >= 0.1 THEN 'warn' ELSE 'none' END AS severity FROM psi""")
+SELECT run_date, "column", round(coalesce(psi, 0), 4) AS psi,
+       CASE WHEN psi >= 0.25 THEN 'critical' WHEN psi >= 0.1 THEN 'warn' ELSE 'none' END AS severity
+FROM cur_days LEFT JOIN psi USING (run_date, "column")""".replace(
+    "ref_all AS (", 'cur_days AS (SELECT DISTINCT run_date, "column" FROM cur_long),\nref_all AS ('))
 def psi_rolling_30d(spark, sf_dir):
-    rows = drift.rolling_drift(events_batch(spark, sf_dir), FEATURES, ASKED, ON)
-    return rows.select("run_date", "column", "psi", "severity")
+    """Every date of the table, each against the 30 days before it; the first has none."""
+    batch = events_batch(spark, sf_dir)
+    return drift.rolling_drift(batch, FEATURES, _days(batch), ON).select("run_date", "column", "psi", "severity")
 
 
-@query("psi_reference_window", f"""WITH {BATCH_SQL}, {_psi_sql(
-    _long_sql(f"batch WHERE run_date BETWEEN DATE '{ASKED[-1]}' - INTERVAL 30 DAY AND DATE '{ASKED[-1]}' - INTERVAL 1 DAY", FEATURES),
-    _long_sql(f"batch WHERE run_date = DATE '{ASKED[-1]}'", FEATURES))}{_GRADED}""")
+def _days(batch):
+    """All days of a table, from its first to its last. Collected: two dates."""
+    first, last = batch.agg(F.min("run_date"), F.max("run_date")).first()
+    return [first + timedelta(days=i) for i in range((last - first).days + 1)]
+
+
+@query("psi_reference_window", f"""WITH {BATCH_SQL},
+newest AS (SELECT max(run_date) AS last FROM batch), {_psi_sql(
+    _long_sql("batch JOIN newest ON run_date BETWEEN last - INTERVAL 30 DAY AND last - INTERVAL 1 DAY", FEATURES),
+    _long_sql("batch JOIN newest ON run_date = last", FEATURES))}{_GRADED}""")
 def psi_reference_window(spark, sf_dir):
+    """The newest date against the window before it."""
     batch = events_batch(spark, sf_dir)
-    reference = drift.reference_window(batch, ASKED[-1], ON.reference_days)
-    current = batch.filter(F.col("run_date") == F.lit(ASKED[-1]))
-    return drift.drift_check(current, reference, FEATURES, ON).select("column", "psi", "severity")
+    newest = batch.agg(F.max("run_date")).first()[0]
+    reference = drift.reference_window(batch, newest, ON.reference_days)
+    return drift.drift_check(batch.filter(F.col("run_date") == F.lit(newest)), reference, FEATURES, ON).select(
+        "column", "psi", "severity"
+    )
 
 
 # Every day against the whole month, with tight bounds so that quiet days and drifted days both occur.

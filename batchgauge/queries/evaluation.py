@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from batchgauge.config import add_metric
+from batchgauge.config import add_metric, add_ranked_metric
 from batchgauge.functions.columns import logistic
 from batchgauge.operators import metrics
 from batchgauge.queries.inputs import BATCH_SQL, events_batch
@@ -311,3 +311,57 @@ def m_custom_metric(spark, sf_dir):
     """A metric that a project adds, next to a built-in one."""
     add_metric("mean_bias", lambda y_true, y_pred, y_proba: F.avg(F.col(y_proba) - F.col(y_true)), lower_is_better=True)
     return metrics.evaluate(sales(spark, sf_dir), ["accuracy", "mean_bias"], "y", "predicted", "p")
+
+
+@query("m_bool_labels", f"WITH {_SALES_RESULTS} SELECT seq, metric, value FROM results")
+def m_bool_labels(spark, sf_dir):
+    """Truth and prediction are booleans; every metric is that of 0 and 1."""
+    rows = sales(spark, sf_dir).withColumns({"y": F.col("y") == 1, "predicted": F.col("predicted") == 1})
+    return metrics.evaluate(rows, SALES_METRICS, "y", "predicted", "p")
+
+
+def _average_precision(tied):
+    return {"area": F.sum(tied.pos / tied.pos_all * (tied.pos_above / (tied.pos_above + tied.neg_above)))}
+
+
+def _best_tenth(tied):
+    """Positives in the best tenth of the rows; of the score on which the tenth ends a share counts."""
+    here, above = tied.pos + tied.neg, tied.pos_above + tied.neg_above
+    room = 0.1 * (tied.pos_all + tied.neg_all) - (above - here)
+    return {"hits": F.sum(tied.pos * F.least(F.greatest(room / here, F.lit(0.0)), F.lit(1.0))), "all": F.max(tied.pos_all)}
+
+
+def _price_caught(tied):
+    """The greatest lead of the price above a score over the share of rows above it."""
+    rows = (tied.pos_above + tied.neg_above) / (tied.pos_all + tied.neg_all)
+    return {"lead": F.max(tied.sums_above["price"] / tied.sums_all["price"] - rows)}
+
+
+@query("m_custom_ranked", f"""WITH {_SALES.replace("AS y, p,", "AS y, p, l_extendedprice AS price,")},
+tied AS (SELECT p, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg, sum(price) AS price FROM sales GROUP BY p),
+above AS (
+  SELECT *, sum(pos) OVER w AS pos_above, sum(neg) OVER w AS neg_above, sum(price) OVER w AS price_above,
+         sum(pos) OVER () AS pos_all, sum(neg) OVER () AS neg_all, sum(price) OVER () AS price_all
+  FROM tied WINDOW w AS (ORDER BY p DESC)),
+parts AS (
+  SELECT sum(pos / pos_all * (pos_above / (pos_above + neg_above))) AS area,
+         sum(pos * least(greatest((0.1 * (pos_all + neg_all) - (pos_above + neg_above - pos - neg)) / (pos + neg), 0), 1)) / max(pos_all) / 0.1 AS lift,
+         max(price_above / price_all - (pos_above + neg_above) / (pos_all + neg_all)) AS caught
+  FROM above)
+SELECT 1 AS seq, 'average_precision' AS metric, round(area, 6) AS value FROM parts
+UNION ALL SELECT 2, 'lift_at_10', round(lift, 6) FROM parts
+UNION ALL SELECT 3, 'price_caught', round(caught, 6) FROM parts
+UNION ALL SELECT 4, 'accuracy', round(avg(CAST(y = predicted AS INT)), 6) FROM sales""")
+def m_custom_ranked(spark, sf_dir):
+    """Metrics over scores in order that a project adds, next to a built-in one."""
+    add_ranked_metric("average_precision", _average_precision, lambda parts: parts["area"])
+    add_ranked_metric("lift_at_10", _best_tenth, lambda parts: parts["hits"] / parts["all"] / 0.1)
+    add_ranked_metric(
+        "price_caught", _price_caught, lambda parts: parts["lead"],
+        per_row={"price": lambda y_true, y_pred, y_proba: F.col("l_extendedprice")},
+    )
+    score = logistic(F.col("l_extendedprice") / 20000 - 1.8)
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_quantity") >= 25).cast("int").alias("y"), score.alias("p"), (score >= 0.5).cast("int").alias("predicted"), "l_extendedprice"
+    )
+    return metrics.evaluate(rows, ["average_precision", "lift_at_10", "price_caught", "accuracy"], "y", "predicted", "p")

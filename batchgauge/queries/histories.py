@@ -119,3 +119,13 @@ def view_first_rows(spark, sf_dir):
     """The LIMIT operator over an input query, made repeatable by a full order."""
     names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"]
     return views.first_rows(table(spark, sf_dir, "lineitem").select(*names), 50_000, names)
+
+
+@query("view_first_rows_text", """
+SELECT l_returnflag, l_linestatus, l_shipdate, l_orderkey, l_linenumber FROM lineitem
+ORDER BY l_returnflag, l_linestatus, l_shipdate, l_orderkey, l_linenumber, l_partkey LIMIT 20000""")
+def view_first_rows_text(spark, sf_dir):
+    """A text key first, with very many ties, then a time: the same LIMIT operator."""
+    names = ["l_returnflag", "l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber"]
+    rows = table(spark, sf_dir, "lineitem").select(*names, "l_partkey")
+    return views.first_rows(rows, 20_000, [*names, "l_partkey"]).drop("l_partkey")

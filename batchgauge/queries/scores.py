@@ -61,6 +61,18 @@ def src_tsv_roundtrip(spark, sf_dir):
     return readers.fetch(spark, SourceSpec("file", {"path": path, "schema": schema}), DAY)
 
 
+@query("src_csv_quoted_cells", """
+SELECT c_custkey, c_name || ', "' || c_mktsegment || '"' || chr(10) || 'line two' AS c_name, c_acctbal FROM customer""")
+def src_csv_quoted_cells(spark, sf_dir):
+    """Cells that hold separators, quotes and line breaks."""
+    path = scratch_folder(spark, "cells") + ".csv"
+    name = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nline two'))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", name.alias("c_name"), "c_acctbal")
+    rows.write.csv(path, header=True, quote='"', escape='"')
+    schema = "c_custkey long, c_name string, c_acctbal double"
+    return readers.fetch(spark, SourceSpec("file", {"path": path, "schema": schema}), DAY)
+
+
 @query("src_path_template", BATCH_SQL.join(["WITH", f"""
 SELECT event_id, value, hour FROM batch WHERE run_date = DATE '{DAY}'"""]))
 def src_path_template(spark, sf_dir):

@@ -232,15 +232,28 @@ def dry_run_stats(spark, sf_dir):
     return stats.withColumns(rounded("min", "max", "mean"))
 
 
-@query("ingest_csv", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem")
+@query("ingest_csv", "SELECT * FROM lineitem")
 def ingest_csv(spark, sf_dir):
-    path = scratch_folder(spark, "export") + ".csv"
-    names = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
-    table(spark, sf_dir, "lineitem").select(*names).write.csv(path, header=True)
-    schema = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    """Every column of a table, by way of a CSV file."""
+    path, lines = scratch_folder(spark, "export") + ".csv", table(spark, sf_dir, "lineitem")
+    lines.write.csv(path, header=True)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema)
     return sinks.ingest_csv(_store(spark, "ingest"), path, "features.lines", schema=schema)
 
 
+@query("ingest_csv_texts", """
+SELECT doc_id, nullif(text, '') AS text, lang, source, 'says "' || coalesce(source, '') || '", then
+goes on; ' || doc_id AS note FROM documents""")
+def ingest_csv_texts(spark, sf_dir):
+    """Texts with quotes, separators and line breaks inside their cells."""
+    path = scratch_folder(spark, "texts") + ".csv"
+    note = F.concat(F.lit('says "'), F.coalesce("source", F.lit("")), F.lit('", then\ngoes on; '), F.col("doc_id").cast("string"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", note.alias("note"))
+    docs.write.csv(path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    schema = "doc_id long, text string, lang string, source string, note string"
+    return sinks.ingest_csv(_store(spark, "ingest-texts"), path, "features.texts", schema=schema)
+
+
 @query("ingest_sample", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5(o_orderkey || '|42'), o_orderkey LIMIT 5000""")
 def ingest_sample(spark, sf_dir):

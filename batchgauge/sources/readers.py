@@ -7,13 +7,15 @@ choices made on the result reach the scan.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
-from datetime import date
+from collections.abc import Callable, Iterable, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from batchgauge.config import SourceSpec
+from batchgauge.functions.columns import col
 
 Reader = Callable[[SparkSession, SourceSpec, str], DataFrame]
 
@@ -50,7 +52,7 @@ def jdbc_options(spec: SourceSpec, run_date: str) -> dict[str, str]:
     """Reader options for an external database; the query runs there.
 
     With ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` in the
-    connection the read is split over executors; otherwise it is one task.
+    connection the read is split over executors by these; with the column alone ``read_jdbc`` asks for the bounds first.
     """
     if not spec.query.strip():
         raise ValueError("a jdbc source without a query reads nothing")
@@ -65,8 +67,72 @@ def jdbc_options(spec: SourceSpec, run_date: str) -> dict[str, str]:
     return {**options, "query": text}
 
 
+#: Rows that one task reads from a database, unless ``numPartitions`` says otherwise.
+JDBC_ROWS = 1_000_000
+
+
+def bounds_options(options: dict[str, str]) -> dict[str, str]:
+    """Options of a query that asks the database for the least and greatest value of the split column, and the rows."""
+    column = options["partitionColumn"]
+    kept = {k: v for k, v in options.items() if k not in ("partitionColumn", "numPartitions", "dbtable")}
+    return {**kept, "query": f"SELECT MIN({column}) AS low, MAX({column}) AS high, COUNT(*) AS n FROM {options['dbtable']}"}
+
+
+def range_predicates(column: str, low, high, n: int, parts: int | None = None) -> list[str]:
+    """Conditions that cut a batch by a column into about even ranges: each row meets exactly one.
+
+    Numbers, dates and timestamps are cut evenly between their ends; NULLs are in the first range. A column without values, or
+    with one, is one range, as is one of a type that cannot be cut (text).
+    """
+    parts = parts or max(1, -(-n // JDBC_ROWS))
+    if low is None or high is None or low == high or parts == 1 or isinstance(low, (str, bytes)):
+        return ["1 = 1"]
+    whole = isinstance(low, int) or type(low) is date
+    parts = min(parts, int((high - low).days if type(low) is date else high - low) + 1) if whole else parts
+    cuts = []
+    for i in range(1, parts):
+        if type(low) is date:
+            cut = low + timedelta(days=(high - low).days * i // parts)
+        elif isinstance(low, int):
+            cut = low + (high - low) * i // parts
+        else:
+            cut = low + (high - low) * i / parts
+        if cut > low and (not cuts or cut > cuts[-1]):
+            cuts.append(cut)
+    shown = [f"'{c}'" if isinstance(c, (date, datetime)) else str(c) for c in cuts]
+    if not shown:
+        return ["1 = 1"]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(shown, shown[1:])]
+    return [f"{column} < {shown[0]} OR {column} IS NULL", *middle, f"{column} >= {shown[-1]}"]
+
+
 def read_jdbc(spark: SparkSession, spec: SourceSpec, run_date: str) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(spec, run_date)).load()
+    """The batch of a database. A ``partitionColumn`` without bounds is asked for them, and the ranges are planned from the answer."""
+    options = jdbc_options(spec, run_date)
+    if "partitionColumn" not in options or "lowerBound" in options:
+        return spark.read.format("jdbc").options(**options).load()
+    low, high, n = spark.read.format("jdbc").options(**bounds_options(options)).load().first()
+    parts = int(options["numPartitions"]) if "numPartitions" in options else None
+    rest = {k: v for k, v in options.items() if k not in ("partitionColumn", "numPartitions", "dbtable", "url")}
+    where = range_predicates(options["partitionColumn"], low, high, int(n), parts)
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=where, properties=rest)
+
+
+def read_separated(spark: SparkSession, paths: Sequence[str], separator: str = ",", schema: str | None = None) -> DataFrame:
+    """CSV or TSV files with a header: cells may be quoted and hold separators, doubled quotes and line breaks.
+
+    An empty cell is NULL, quoted or not. Files are split between tasks unless a cell goes on over a line break: a line
+    with an odd number of quotes shows that, and is looked for first.
+    """
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    over_lines = not spark.read.text(list(paths)).filter(quotes % 2 == 1).isEmpty()
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.csv(
+        list(paths), sep=separator, header=True, inferSchema=schema is None, quote='"', escape='"', multiLine=over_lines,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    text = [f.name for f in rows.schema if isinstance(f.dataType, StringType)]
+    return rows.withColumns({n: F.nullif(col(n), F.lit("")) for n in text}) if text else rows
 
 
 def read_paths(spark: SparkSession, paths: Iterable[str], schema: str | None = None) -> DataFrame:
@@ -79,10 +145,7 @@ def read_paths(spark: SparkSession, paths: Iterable[str], schema: str | None = N
         if suffix == ".parquet":
             return reader.parquet(*paths)
         if suffix in SEPARATORS:
-            return reader.csv(
-                paths, sep=SEPARATORS[suffix], header=True, inferSchema=schema is None,
-                quote='"', escape='"', multiLine=False,
-            )
+            return read_separated(spark, paths, SEPARATORS[suffix], schema)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no such path: {', '.join(paths)}") from e
