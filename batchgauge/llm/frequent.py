@@ -32,10 +32,10 @@ def gram_hashes(spans: Spans, size: int) -> tuple[np.ndarray, np.ndarray]:
     return spans.hashes(at, at + size - 1) >> np.uint64(1), doc[at]
 
 
-def frequent_grams(docs: DataFrame, size: int, lower: bool = False) -> np.ndarray:
+def frequent_grams(docs: DataFrame, size: int, lower: bool = False, local_count: int = LOCAL_COUNT) -> np.ndarray:
     """Sorted hashes of the most frequent n-grams, at most MAX_GRAMS of them.
 
-    Each block of documents reports the n-grams that it holds at least LOCAL_COUNT times;
+    Each block of documents reports the n-grams that it holds at least `local_count` times;
     the reports of all blocks are added up. A phrase in a fixed share of all documents is
     reported by nearly every block, whatever the table's size.
     """
@@ -45,7 +45,7 @@ def frequent_grams(docs: DataFrame, size: int, lower: bool = False) -> np.ndarra
             for _, texts in text_blocks(batch):
                 spans = Spans([t.lower() for t in texts] if lower else texts)
                 grams, n = np.unique(gram_hashes(spans, size)[0], return_counts=True)
-                keep = n >= LOCAL_COUNT
+                keep = n >= local_count
                 yield pa.record_batch({"gram": grams[keep].astype(np.int64), "n": n[keep].astype(np.int64)})
 
     counted = docs.select("text").filter("text is not null").mapInArrow(count, "gram long, n long")
