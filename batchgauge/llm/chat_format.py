@@ -9,7 +9,8 @@ line breaks escaped, so the first line break of a turn ends its role.
 Encoding runs on every row where it lies. A running sum of token counts per conversation then
 gives each turn its place, and the masked range of assistant texts with it. The result has a
 row per turn, so a conversation of any length is never one value. Reading back streams the
-rows of a conversation in order and holds one turn at a time.
+rows of a conversation in order and holds one turn at a time. The turns of one conversation pass through one
+task in order, in the running sum as in the reading: a digest of a sequence cannot be split.
 
 Defined results: null text is empty, null role is an empty role. Turns come by turn (null
 first), then role, then text; repeated rows are repeated turns. Null conv_id is a conversation.
@@ -33,6 +34,7 @@ LEARNED_ROLE = "assistant"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "conv_id long, turn long, role string, text string, ids array<int>, learn_from int, learn_until int"
+_BLANKS = re.compile(r"\s{10000}")
 _MARK, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 
 
@@ -64,7 +66,9 @@ class Coder:
         self.end = self.start + 1
 
     def encode(self, text: str) -> list[int]:
-        return self.coder.encode_ordinary(text)
+        """The ids of a text. A very long run of white space is cut: the pattern takes one stack frame a character there."""
+        cuts = [0, *(m.end() for m in _BLANKS.finditer(text)), len(text)]
+        return [i for a, b in zip(cuts, cuts[1:]) for i in self.coder.encode_ordinary(text[a:b])]
 
     def decode(self, ids: list[int]) -> str:
         return self.coder.decode_bytes(ids).decode("utf-8")

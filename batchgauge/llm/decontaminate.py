@@ -6,8 +6,8 @@ most k edits at least one piece is untouched, so every match holds a piece exact
 pieces of all items are searched at once in each whole text; around each hit the edit
 distance of the whole item is computed with Myers' bit-parallel columns.
 
-The benchmark is sent to the tasks in blocks of at most `block_chars` characters, one pass
-each, so that its size is not bounded by a task's memory.
+The benchmark is sent to the tasks in blocks of about `block_chars` characters, one pass
+over the documents each; what a pass found is written before the next block is read, so that a task and the driver hold one block.
 
 Defined results: null or empty texts and items match nothing. Items with fewer than
 `min_chars` characters must occur without any edit. Items that repeat a text are all reported.
@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from batchgauge.llm.common import stored
+
 RATE = 0.05
 MIN_CHARS = 40
 BLOCK_CHARS = 8_000_000
@@ -141,6 +143,8 @@ def marked(
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     out = docs.select(*dict.fromkeys([*names, "text"])).withColumn("__hits", F.array().cast(ArrayType(HIT)))
     for k in range(passes):
+        if k:  # one automaton a task at a time: what the last pass found is written before the next is made
+            out = stored(out, "decontaminate", texts=True)
         block = [(r["item_id"], plain(r["text"])) for r in items.filter(part == k).collect()]
         out = _search(out, spark.sparkContext.broadcast(sorted(block, key=str)), rate, min_chars)
     return out.select(*[F.col(f"`{n}`") for n in fields if n in names], F.col("__hits").alias("hits"))

@@ -1,7 +1,7 @@
 """Main text of web pages, by wrappers inferred from the pages of each host.
 
 A page is read as a stream of tags and texts, with missing end tags put in. Its own structure
-comes first: neighbouring equal elements, and neighbouring equal groups of up to four, become
+comes first: neighbouring equal elements, and neighbouring equal groups, become
 repeated groups, and every text becomes a slot. The structures of a host's pages are then
 aligned one after another: what only one side has becomes optional, what one side has more
 often becomes repeated. The result is one union-free regular expression over tags per host,
@@ -10,14 +10,15 @@ a place there. A place that says the same on every page that has it is a constan
 template (a notice, an advert, a box of links); one that says different things, on two pages or
 within one, as repeated parts do, is a slot. The slots in article places are a page's text.
 
-Constants need two pages that differ in their article: a place that only one page has, or only
-pages with equal articles, is a slot, and so is all of a host with one page. The title (`h1`) of
+Constants need eight texts on pages that differ in their article, and stand before the article's first slot or
+after its last: a heading or caption that a host's pages share inside the article stays. The title (`h1`) of
 an article stays, and a page that would be left without any text keeps its constants. Shared
 text in a repeated part, like a paragraph among paragraphs, is not told from the article.
 
 Pages of one host mostly share a few structures, so structures are counted and made distinct
 before the shuffle; a host with a third of all pages sends a few rows per task. A host's
-structures are folded in `SALTS` parts, one structure in memory at a time, then the parts.
+structures are folded in parts, one structure in memory at a time, then the parts; there are about as many parts
+as structures in a part.
 Of the texts only the smallest and largest hash per place are shuffled, combined per batch.
 Wrappers are broadcast to the pages when their counted size allows, else joined by host.
 
@@ -36,7 +37,9 @@ from __future__ import annotations
 import hashlib
 import html as html_lib
 import json
+import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -46,8 +49,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from batchgauge.llm.common import BROADCAST_BYTES, stored
 
-SALTS = 16
 DEPTH = 100
+#: Cells of an alignment that is searched whole, and ends that are tried for a repeated group.
+TABLE = 40_000
+TRIES = 32
+#: Pages that must agree on a text before it counts as template.
+AGREEING = 8
 
 # Elements and class words by their meaning in public web practice.
 INLINE = frozenset(
@@ -225,43 +232,132 @@ def _bare(nodes: list) -> list:
 
 
 def folded(nodes: list) -> list:
-    """Neighbouring repeats as one: first of single nodes, then of groups of two to four."""
-    out = runs(nodes)
-    for width in (2, 3, 4):
-        i = 0
-        while i + 2 * width <= len(out):
-            keys = [n[0] for n in out[i : i + width]]
-            if keys == [n[0] for n in out[i + width : i + 2 * width]]:
-                group = aligned(out[i : i + width], out[i + width : i + 2 * width])
-                j = i + 2 * width
-                while [n[0] for n in out[j : j + width]] == keys:
-                    group = aligned(group, out[j : j + width])
-                    j += width
-                out[i:j] = [[f"({' '.join(keys)})", 1, 1, group]]
+    """Neighbouring repeats as one: first of single nodes, then of groups of any width, the narrowest first."""
+    nodes = runs(nodes)
+    keys = [n[0] for n in nodes]
+    later: dict[str, list[int]] = {}
+    for i, key in enumerate(keys):
+        later.setdefault(key, []).append(i)
+    out: list = []
+    i, size = 0, len(nodes)
+    while i < size:
+        found = later[keys[i]]
+        # a group that begins here ends where its first key comes again
+        for j in found[bisect_right(found, i) : bisect_right(found, i) + TRIES]:
+            width = j - i
+            if keys[i:j] == keys[j : j + width]:
+                group = aligned(nodes[i:j], nodes[j : j + width])
+                end = j + width
+                while keys[end : end + width] == keys[i:j]:
+                    group = aligned(group, nodes[end : end + width])
+                    end += width
+                out.append([f"({' '.join(keys[i:j])})", 1, 1, group])
+                i = end
+                break
+        else:
+            out.append(nodes[i])
             i += 1
+    return runs(out)
+
+
+def _common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places (in a, in b) of equal keys, rising in both: a longest such list where the rest is small.
+
+    What begins and ends alike is taken first, then keys that each side has once (as many of these as rise
+    together), then the same between those. A stretch without such keys is searched whole if it has at most TABLE
+    cells, else its equal keys are taken as they come: time and memory stay near the length of the lists.
+    """
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        lo, hi, low, high = todo.pop()
+        while lo < hi and low < high and a[lo] == b[low]:
+            out.append((lo, low))
+            lo, low = lo + 1, low + 1
+        while lo < hi and low < high and a[hi - 1] == b[high - 1]:
+            hi, high = hi - 1, high - 1
+            out.append((hi, high))
+        if lo == hi or low == high:
+            continue
+        if (hi - lo) * (high - low) <= TABLE:
+            out += [(lo + x, low + y) for x, y in _longest(a[lo:hi], b[low:high])]
+            continue
+        once_a, once_b = (Counter(x) for x in (a[lo:hi], b[low:high]))
+        spot = {k: y for y, k in enumerate(b[low:high], low) if once_b[k] == 1}
+        anchors = _rising([(x, spot[k]) for x, k in enumerate(a[lo:hi], lo) if once_a[k] == 1 and k in spot])
+        if not anchors:
+            out += _as_they_come(a, b, lo, hi, low, high)
+            continue
+        ends = [*anchors, (hi, high)]
+        for (x, y), (u, v) in zip([(lo - 1, low - 1), *anchors], ends):
+            todo.append((x + 1, u, y + 1, v))
+        out += anchors
+    return sorted(out)
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The most pairs, of those with rising first places, whose second places rise too."""
+    tops: list[int] = []
+    last: list[int] = []
+    before: list[int | None] = []
+    for i, (_, y) in enumerate(pairs):
+        at = bisect_left(tops, y)
+        before.append(last[at - 1] if at else None)
+        if at == len(tops):
+            tops.append(y)
+            last.append(i)
+        else:
+            tops[at], last[at] = y, i
+    out, i = [], last[-1] if last else None
+    while i is not None:
+        out.append(pairs[i])
+        i = before[i]
+    return out[::-1]
+
+
+def _as_they_come(a: list, b: list, lo: int, hi: int, low: int, high: int) -> list[tuple[int, int]]:
+    places: dict[str, list[int]] = {}
+    for y in range(low, high):
+        places.setdefault(b[y], []).append(y)
+    out, y = [], low - 1
+    for x in range(lo, hi):
+        found = places.get(a[x])
+        at = bisect_right(found, y) if found else 0
+        # a key that comes much later would leave most of the other side alone
+        if found and at < len(found) and (found[at] - y) * (hi - lo) <= 8 * (high - low) * max(1, x - lo + 1):
+            y = found[at]
+            out.append((x, y))
     return out
 
 
-def _steps(a: list, b: list) -> Iterator[tuple[list | None, list | None]]:
-    """The nodes of both lists in order, common ones by longest common subsequence together."""
+def _longest(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence."""
     n, m = len(a), len(b)
     length = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            length[i][j] = length[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(length[i + 1][j], length[i][j + 1])
-    i, j = 0, 0
+            length[i][j] = length[i + 1][j + 1] + 1 if a[i] == b[j] else max(length[i + 1][j], length[i][j + 1])
+    i, j, out = 0, 0, []
     while i < n and j < m:
-        if a[i][0] == b[j][0]:
-            yield a[i], b[j]
+        if a[i] == b[j]:
+            out.append((i, j))
             i, j = i + 1, j + 1
         elif length[i + 1][j] >= length[i][j + 1]:
-            yield a[i], None
             i += 1
         else:
-            yield None, b[j]
             j += 1
-    yield from ((x, None) for x in a[i:])
-    yield from ((None, y) for y in b[j:])
+    return out
+
+
+def _steps(a: list, b: list) -> Iterator[tuple[list | None, list | None]]:
+    """The nodes of both lists in order, common ones together."""
+    i, j = 0, 0
+    for x, y in [*_common([n[0] for n in a], [n[0] for n in b]), (len(a), len(b))]:
+        yield from ((n, None) for n in a[i:x])
+        yield from ((None, n) for n in b[j:y])
+        if x < len(a):
+            yield a[x], b[y]
+        i, j = x + 1, y + 1
 
 
 def _inside(x: list, y: list) -> list:
@@ -399,7 +495,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
             yield pa.record_batch({"host": pa.array([host], pa.string()), "structure": pa.array([json.dumps(wrapper, separators=(",", ":"))], pa.string())})
 
     own = pages.select(host_of().alias("host"), "html").filter("html is not null").mapInArrow(read, STRUCTURES)
-    distinct = own.distinct().withColumn("salt", F.pmod(F.xxhash64("structure"), F.lit(SALTS)))
+    distinct = stored(own.distinct(), "structures")
+    # as many parts as there are structures in each, at least for a host with most of them
+    salts = max(16, math.isqrt(distinct.count()))
+    distinct = distinct.withColumn("salt", F.pmod(F.xxhash64("structure"), F.lit(salts)))
     parts = (
         distinct.repartition("host", "salt").sortWithinPartitions("host", "salt", "structure")
         .select(F.concat_ws("\x00", "host", F.col("salt").cast("string")).alias("host"), "structure").mapInArrow(fold, STRUCTURES)
@@ -411,7 +510,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     )
 
 
-PLACES = "host string, place int, low long, high long, first long, last long"
+PLACES = "host string, place int, low long, high long, first long, last long, n long"
 
 
 def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,11 +528,11 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if i not in place:
                     continue
                 value = _hash(blocks[i])
-                r = ranges.setdefault((host, place[i]), [value, value, whole, whole])
-                r[:] = min(r[0], value), max(r[1], value), min(r[2], whole), max(r[3], whole)
+                r = ranges.setdefault((host, place[i]), [value, value, whole, whole, 0])
+                r[:] = min(r[0], value), max(r[1], value), min(r[2], whole), max(r[3], whole), r[4] + 1
         rows = [(*k, *v) for k, v in ranges.items()]
         names = [x.split()[0] for x in PLACES.split(", ")]
-        kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4]
+        kinds = [pa.string(), pa.int32(), *[pa.int64()] * 5]
         yield pa.record_batch({n: pa.array([r[i] for r in rows], kind) for i, (n, kind) in enumerate(zip(names, kinds))})
 
 
@@ -442,10 +541,16 @@ def templates(pages: DataFrame) -> DataFrame:
     made = stored(wrappers(pages), "wrappers")
     read_along = pages.select(host_of().alias("host"), "html").filter("html is not null").join(_bounded(made), "host")
     ranges = read_along.select("host", "wrapper", "html").mapInArrow(_readings, PLACES).groupBy("host", "place").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.max("last").alias("last")
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")
     )
+    # the places of a host are those of one expression: what lies between two slots is part of the article
+    same = (F.col("low") == F.col("high")) & (F.col("first") < F.col("last")) & (F.col("n") >= AGREEING)
+    places = F.sort_array(F.collect_list(F.struct("place", same.alias("same"))))
+    slots = F.transform(F.filter("places", lambda p: ~p["same"]), lambda p: p["place"])
+    outside = F.filter("places", lambda p: p["same"] & ((p["place"] < F.array_min("slots")) | (p["place"] > F.array_max("slots"))))
     constants = stored(
-        ranges.filter("low = high and first < last").groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("constants")),
+        ranges.groupBy("host").agg(places.alias("places")).withColumn("slots", slots)
+        .withColumn("constants", F.transform(outside, lambda p: p["place"])).filter(F.size("constants") > 0).select("host", "constants"),
         "constants",
     )
     return made.join(constants, "host")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -38,7 +39,9 @@ HASHED = 1 << 16
 LEXICON_COUNT = 3
 LEXICON_WORDS = 20_000
 BLOCK_CHARS = 3_000_000
-WORD = re.compile(r"[^\W\d_]+")
+#: Signs that count as word characters but are no letters: fractions, raised digits, Roman numerals.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _SEED = 0x27D4EB2F165667C5
 

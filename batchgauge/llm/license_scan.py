@@ -4,7 +4,7 @@ The lines, paragraphs and comments of a file that speak of a licence (its header
 text of a licence file, are compared with licence templates by the cosine of sparse TF-IDF vectors:
 their words are joined with the words of the templates and the products are summed. A template
 counts only if the words that tell its licence from its relatives agree (name, version, variant:
-`MARKS`). The best template at or above `least` is the file's own licence. A licence file speaks
+`MARKS`), and a line that denies a licence (`DENIED`) has none. The best template at or above `least` is the file's own licence. A licence file speaks
 for its directory: every file without a licence of its own takes that of the nearest directory
 above it that has one.
 
@@ -30,7 +30,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from batchgauge.llm.common import small, stored
 
 LEAST = 0.5
-CUES = r"(?i)licen[cs]|copyright|spdx|permission is hereby|public domain|redistribution"
+#: What speaks of a licence: the word itself and its like, or a licence's name (with its version).
+CUES = (
+    r"(?i)licen[cs]|copyright|spdx|permission is hereby|public domain|redistribution|creative commons|unencumbered"
+    r"|\b(?:[al]?gpl|apache|mozilla|mpl|bsd|cc0|cc[ -]by)(?:[ -]?v?\d|\b)"
+)
+#: A unit that says so is under no licence by it.
+DENIED = (
+    r"(?i)\b(?:not|never|nor|isn't|aren't|no longer)\s+(?:be\s+|been\s+|being\s+|yet\s+)?"
+    r"(?:licen[cs]ed|released|distributed|available|covered|published|offered|under)\b"
+)
 WORD = r"[^a-z0-9.]+"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)[^/]*$"
 
@@ -83,7 +92,8 @@ _ISC_END = (
 def _gnu(name: str, short: str, version: str, dated: str) -> tuple[str, ...]:
     return (
         f"Licensed under the GNU {name}, version {version}.", f"This work is licensed under the GNU {name}, version {version}.",
-        f"Licensed under the {short} {version}.0.", f"{short}v{version} license", f"GNU {name} Version {version}, {dated}",
+        f"Licensed under the {short} {version}.0.", f"{short}v{version} license", f"Distributed under the terms of the {short}v{version}.",
+        f"Released under the {short}v{version}, see COPYING.", f"GNU {name} Version {version}, {dated}",
         f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by "
         f"the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
         f"SPDX-License-Identifier: {short}-{version}.0-only", f"SPDX-License-Identifier: {short}-{version}.0-or-later",
@@ -200,7 +210,7 @@ def own_licences(files: DataFrame, templates: dict[str, str | tuple[str, ...]] =
     spark = files.sparkSession
     whole = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     parts = F.concat(F.split("text", "\n"), F.split("text", BLANK), F.regexp_extract_all("text", F.lit(COMMENT), 1))
-    lines = F.array_distinct(F.filter(parts, lambda x: x.rlike(CUES)))
+    lines = F.array_distinct(F.filter(parts, lambda x: x.rlike(CUES) & ~x.rlike(DENIED)))
     units = F.when(whole, F.concat(lines, F.array("text"))).otherwise(lines)
     spoken = files.filter(F.col("text").rlike(CUES) | (whole & F.col("text").isNotNull())).select("file", F.posexplode(units).alias("line", "said"))
     vectors = stored(

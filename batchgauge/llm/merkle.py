@@ -109,15 +109,19 @@ def _levels(hashes: list[str], up: int) -> list[list[str]]:
 NODES = "tree_no long, level int, idx long, hash string, n long"
 
 
-def _raised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (tree_no, level, block, n, hashes): the nodes of the next TIER levels, or as many as the tree has."""
-    for batch in batches:
-        out: list[tuple] = []
-        for r in batch.to_pylist():
-            up = min(TIER, height(r["n"]) - r["level"])
-            for k, hashes in enumerate(_levels(r["hashes"], up), 1):
-                out += [(r["tree_no"], r["level"] + k, (r["block"] << TIER >> k) + i, h, r["n"]) for i, h in enumerate(hashes)]
-        yield _batch(out, ("tree_no", "level", "idx", "hash", "n"), (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64()))
+def _raised(tier: int):
+    """From (tree_no, level, block, n, hashes): the nodes of the next `tier` levels, or as many as the tree has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                up = min(tier, height(r["n"]) - r["level"])
+                for k, hashes in enumerate(_levels(r["hashes"], up), 1):
+                    out += [(r["tree_no"], r["level"] + k, (r["block"] << tier >> k) + i, h, r["n"]) for i, h in enumerate(hashes)]
+            yield _batch(out, ("tree_no", "level", "idx", "hash", "n"), (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64()))
+
+    return run
 
 
 def _batch(rows: list[tuple], names: Sequence[str], types: Sequence[pa.DataType]) -> pa.RecordBatch:
@@ -136,7 +140,7 @@ def _above(nodes: DataFrame, largest: int, label: str, level: int = 0) -> DataFr
             .withColumn("hashes", F.col("hashes.hash"))
         )
         with text_batches(spark, PACKED_ROWS):
-            nodes = stored(blocks.mapInArrow(_raised, NODES), f"{label}-nodes")
+            nodes = stored(blocks.mapInArrow(_raised(TIER), NODES), f"{label}-nodes")
         parts.append(nodes)
         level += TIER
     out = parts[0]
@@ -145,27 +149,31 @@ def _above(nodes: DataFrame, largest: int, label: str, level: int = 0) -> DataFr
     return out
 
 
-def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The top node of each leaf partition: at level TIER, or the subroot of a tree that is one partition."""
-    for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            up = min(TIER, height(r["n"]))
-            hashes = [x.hex() for x in r["leaves"]]
-            out.append((r["tree_no"], up, r["unit"], (_levels(hashes, up) or [hashes])[-1][0], r["n"]))
-        yield _batch(out, ("tree_no", "level", "idx", "hash", "n"), (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64()))
+def _tops(tier: int):
+    """The top node of each leaf partition: at level `tier`, or the subroot of a tree that is one partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                up = min(tier, height(r["n"]))
+                hashes = [x.hex() for x in r["leaves"]]
+                out.append((r["tree_no"], up, r["unit"], (_levels(hashes, up) or [hashes])[-1][0], r["n"]))
+            yield _batch(out, ("tree_no", "level", "idx", "hash", "n"), (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64()))
+
+    return run
 
 
 NEEDS = "tree_no long, unit long, of long, level int, idx long"
 
 
-def _needs(n_trees: int):
+def _needs(n_trees: int, tier: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                first = r["unit"] << TIER
-                own = range(first, min(first + (1 << TIER), r["n"]))
+                first = r["unit"] << tier
+                own = range(first, min(first + (1 << tier), r["n"]))
                 out += [(r["tree_no"], r["unit"], r["tree_no"], *c) for c in missing_nodes(own, r["n"])]
                 out += [(r["tree_no"], r["unit"], TOP, *c) for c in missing_nodes([r["tree_no"]], n_trees)]
             yield _batch(out, ("tree_no", "unit", "of", "level", "idx"), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))
@@ -178,11 +186,11 @@ PROOFS = (
 )
 
 
-def _proven(n_trees: int, root: str):
+def _proven(n_trees: int, root: str, tier: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-                tree, n, first = r["tree_no"], r["n"], r["unit"] << TIER
+                tree, n, first = r["tree_no"], r["n"], r["unit"] << tier
                 leaves = [x.hex() for x in r["leaves"]]
                 own = range(first, first + len(leaves))
                 nodes = {(0, p): h for p, h in zip(own, leaves)}
@@ -191,7 +199,7 @@ def _proven(n_trees: int, root: str):
                     (top if x["of"] == TOP else nodes)[x["level"], x["idx"]] = x["hash"]
                 derived(nodes, own, n)
                 up = height(n)
-                own_up = min(TIER, up)
+                own_up = min(tier, up)
                 top[0, tree] = nodes[up, 0]
                 derived(top, [tree], n_trees)
                 got = top[height(n_trees), 0]
@@ -235,7 +243,7 @@ def proofs(rows: DataFrame) -> DataFrame:
         ), "units",
     )
     with text_batches(spark, PACKED_ROWS):
-        tops = stored(units.select("tree_no", "unit", "n", "leaves").mapInArrow(_tops, NODES), "tops")
+        tops = stored(units.select("tree_no", "unit", "n", "leaves").mapInArrow(_tops(TIER), NODES), "tops")
     nodes = _above(tops, largest, "tree", TIER)
     # the node above all others of its tree: level = height
     roots = nodes.filter((F.col("idx") == 0) & (F.expr("shiftleft(1L, level)") >= F.col("n")))
@@ -246,7 +254,7 @@ def proofs(rows: DataFrame) -> DataFrame:
     top = stored(_above(subroots, n_trees, "top"), "top-nodes")
     root = top.filter((F.col("level") == height(n_trees)) & (F.col("idx") == 0)).first()["hash"]
 
-    needs = stored(units.select("tree_no", "unit", "n").mapInArrow(_needs(n_trees), NEEDS), "needs")
+    needs = stored(units.select("tree_no", "unit", "n").mapInArrow(_needs(n_trees, TIER), NEEDS), "needs")
     have = nodes.unionByName(top).select(F.col("tree_no").alias("of"), "level", "idx", "hash")
     wide = (F.col("of") == TOP) | (F.col("level") >= 2 * TIER)
     found = [
@@ -259,7 +267,7 @@ def proofs(rows: DataFrame) -> DataFrame:
     )
     with text_batches(spark, PACKED_ROWS):
         proven = stored(
-            units.join(small(fetched, 160 * 64), ["tree_no", "unit"], "left").mapInArrow(_proven(n_trees, root), PROOFS), "proofs"
+            units.join(small(fetched, 160 * 64), ["tree_no", "unit"], "left").mapInArrow(_proven(n_trees, root, TIER), PROOFS), "proofs"
         )
     return proven.join(numbered.select("tree_no", "tree"), "tree_no").select(out_columns)
 

@@ -45,7 +45,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from batchgauge.llm.common import small, stored, text_batches
+from batchgauge.llm.common import BROADCAST_BYTES, stored, text_batches
 
 # The header of each column, as the format names it.
 HEADER = {
@@ -503,6 +503,9 @@ def write(rows: DataFrame, path: str, mode: str = "append", **options: object) -
 
 #: A group of copies beyond this many pages has its row sent to every task; there is one in so many pages at most.
 HOT_COPIES = 100_000
+#: About what a group takes in a broadcast hash table, and the bound on all of it.
+GROUP_BYTES = 400
+BROADCAST_LIMIT = BROADCAST_BYTES
 
 
 def page_records(pages: DataFrame, key: str, uri: str, body: str, date: str, least: int = LEAST_REVISIT) -> DataFrame:
@@ -523,10 +526,9 @@ def page_records(pages: DataFrame, key: str, uri: str, body: str, date: str, lea
         "copies",
     )
     group = ["_same", "_keeper", "refers_to_uri"]
-    near = small(copies.select(group), 320)
     hot = copies.filter(F.col("_copies") > HOT_COPIES).select(group)
-    if copies.count() * 320 <= 48_000_000:
-        found = base.join(near, "_same", "left")
+    if copies.count() * GROUP_BYTES <= BROADCAST_LIMIT:
+        found = base.join(F.broadcast(copies.select(group)), "_same", "left")
     else:  # the pages of a hot group stay where they are, the others meet their group by its hash
         told = base.join(F.broadcast(hot.withColumnsRenamed({c: f"{c}_hot" for c in group})), F.col("_same") == F.col("_same_hot"), "left")
         spread = F.concat("_same", F.lit("#"), F.pmod(F.xxhash64("_key"), F.lit(4096)).cast("string"))

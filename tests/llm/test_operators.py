@@ -286,25 +286,57 @@ def test_html(spark):
 
 
 def test_html_text_that_the_pages_of_a_host_share(spark):
-    def page(title, paragraphs, box="<div class=x7>Read our letter</div>"):
-        return f"<body><div>Site</div><article><h1>{title}</h1>{''.join(f'<p>{p}</p>' for p in paragraphs)}{box}</article></body>"
+    def page(title, paragraphs, box="<div class=x7>Read our letter</div>", top=""):
+        return f"<body><div>Site</div><article>{top}<h1>{title}</h1>{''.join(f'<p>{p}</p>' for p in paragraphs)}{box}</article></body>"
 
-    rows = [
+    many = [(100 + i, f"http://two.example/{i}", page(f"More {i}", [f"m{i}"])) for i in range(8)]
+    rows = many + [
         (1, "http://two.example/1", page("One", ["a", "b"])), (2, "http://two.example/2", page("One", ["c"])),
-        (3, "http://two.example/3", page("Three", ["d", "e"], "")), (4, "http://two.example/4", page("Four", [], "<ul><li>only<li>here</ul>")),
-        (5, "http://two.example/5", page("Five", ["f"], "<div class=x7>Read our letter</div><table><tr><td>once</table>")),
+        (3, "http://two.example/3", page("Three", ["d", "e"], "")),
         (10, "http://one.example/1", page("Alone", ["a"])), (11, "http://one.example/1", page("Alone", ["a"])),
         (20, "http://same.example/1", "<article><p>x</article>"), (21, "http://same.example/2", "<article><p>x</article><p>y"),
-        (30, "http://main.example/1", "<body><div>Top</div><p>a<p>b<div>Links</div>"), (31, "http://main.example/2", "<body><div>Top</div><p>c<div>Links</div>"),
-        (32, "http://main.example/3", "<body><div>Top</div>"),
     ]
+    rows += [(200 + i, f"http://main.example/{i}", f"<body><div>Top</div><p>a{i}<p>b<div>Links</div>") for i in range(9)]
+    rows += [(300, "http://main.example/x", "<body><div>Top</div>")]
+    rows += [(400 + i, f"http://few.example/{i}", page(f"Few {i}", [f"f{i}"])) for i in range(7)]
+    rows += [(500 + i, f"http://cook.example/{i}", f"<article><h1>Dish {i}</h1><h2>Ingredients</h2><p>{i} eggs</p><h2>Method</h2><p>Boil {i}</p></article>") for i in range(20)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in html_wrappers.main_texts(pages.repartition(3, "page_id")).collect()}
-    assert got == {
-        1: "One\na\nb", 2: "One\nc", 3: "Three\nd\ne", 4: "Four\nonly\nhere", 5: "Five\nf\nonce",
-        10: "Alone\na\nRead our letter", 11: "Alone\na\nRead our letter", 20: "x", 21: "x", 30: "a\nb", 31: "c", 32: "Top",
+    want = {100 + i: f"More {i}\nm{i}" for i in range(8)} | {
+        1: "One\na\nb", 2: "One\nc", 3: "Three\nd\ne", 10: "Alone\na\nRead our letter", 11: "Alone\na\nRead our letter", 20: "x", 21: "x", 300: "Top",
     }
-    assert html_wrappers.extract(rows[0][2], []) == "One\na\nb\nRead our letter"
+    want |= {200 + i: f"a{i}\nb" for i in range(9)}
+    want |= {400 + i: f"Few {i}\nf{i}\nRead our letter" for i in range(7)}  # too few pages agree
+    want |= {500 + i: f"Dish {i}\nIngredients\n{i} eggs\nMethod\nBoil {i}" for i in range(20)}  # headings inside the article
+    assert got == want
+
+
+def test_html_of_long_pages_with_many_kinds_of_elements(spark):
+    import time
+
+    kinds = ["p", "h2", "blockquote", "pre", "dl"]
+    cycle = "".join(f"<{k}>text of {k}</{k}>" for k in kinds)
+    rng = random.Random(2)
+    mixed = "".join(f"<{k}>w{i}</{k}>" for i, k in enumerate(rng.choices(kinds, k=15_000)))
+    began = time.perf_counter()
+    own = html_wrappers.structure(f"<article>{cycle * 7_000}</article>")
+    assert html_wrappers.expression(own) == f"<article>({''.join(f'<{k}>#</>' for k in kinds)})+</>"
+    one, other = html_wrappers.structure(f"<article>{mixed}</article>"), html_wrappers.structure(f"<article>{mixed[400:]}{cycle}</article>")
+    both = html_wrappers.aligned(one, other)
+    assert time.perf_counter() - began < 60
+    for side in (one, other):  # every text of either side has a place
+        found = html_wrappers.located(html_wrappers.read(f"<article>{mixed}</article>")[0], html_wrappers.numbered(both))
+        assert len(found) == 15_000
+
+
+def test_html_common_places_rise_on_both_sides():
+    rng = random.Random(8)
+    for n, m, letters in ((0, 5, "ab"), (30, 30, "abc"), (400, 300, "abcdefgh"), (500, 500, [str(i) for i in range(300)]), (900, 700, "ab")):
+        a, b = rng.choices(letters, k=n), rng.choices(letters, k=m)
+        found = html_wrappers._common(a, b)
+        assert all(a[x] == b[y] for x, y in found)
+        assert all(x < u and y < v for (x, y), (u, v) in zip(found, found[1:]))
+        assert html_wrappers._common(a, a) == [(i, i) for i in range(n)]
 
 
 def test_html_nested_deeper_than_the_wrapper():
