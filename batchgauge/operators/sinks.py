@@ -183,7 +183,9 @@ def unseen_keys(df: DataFrame, stored: DataFrame, keys: Sequence[str], filter_by
 def _positions(keys: Sequence[str], bits: int) -> list[Column]:
     """The bits of a key, from two hashes of it. A key with a NULL is never equal to another, wherever its bits lie."""
     one, two = (F.xxhash64(F.lit(seed), *[col(k) for k in keys]) for seed in (1, 2))
-    return [F.pmod(one + F.lit(i) * F.shiftright(two, 8), F.lit(bits)) for i in range(_HASHES)]
+    # remainders first: their sums cannot overflow
+    first, step = F.pmod(one, F.lit(bits)), F.pmod(two, F.lit(bits))
+    return [F.pmod(first + F.lit(i) * step, F.lit(bits)) for i in range(_HASHES)]
 
 
 def _bloom_test(known: DataFrame, keys: Sequence[str], filter_bytes: int) -> Column:

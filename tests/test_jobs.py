@@ -76,8 +76,8 @@ def test_run_with_monitoring_and_drift(spark, store):
     alerts = [r for r in store.read("alert_log").collect() if r["n_failed"] == 1]
     (alert,) = [r for r in alerts if "row_count_change" in r["message"]]
     assert alert["channel"] == "#c" and "- row_count_change: Row count changed 75.0%" in alert["message"]
-    # p twice: the daily run has checked it against the stored day before
-    assert sorted(r["message"].split(" — ")[1][:6] for r in alerts if r is not alert) == ["f: PSI", "p: PSI", "p: PSI"]
+    # twice each: the daily run has checked them against the day before, p by the stored scores and f by the feature log
+    assert sorted(r["message"].split(" — ")[1][:6] for r in alerts if r is not alert) == ["f: PSI", "f: PSI", "p: PSI", "p: PSI"]
 
 
 def test_drift_against_the_stored_days_of_the_settings(spark, store):
@@ -87,7 +87,7 @@ def test_drift_against_the_stored_days_of_the_settings(spark, store):
     for day, f in values.items():
         jobs.daily_run(spark, store, project, SCORER, f"2024-01-0{day}", days(spark, {day: f}), with_monitoring=True)
     rows = {(r["run_date"].day, r["column"]): r["severity"] for r in store.read("drift_log").collect()}
-    assert set(rows) == {(2, "p"), (3, "p"), (4, "p")}  # features are not stored, day 1 has nothing before it
+    assert set(rows) == {(d, c) for d in (2, 3, 4) for c in ("f", "p")}  # day 1 has nothing before it
     assert rows[(2, "p")] == "critical" and rows[(4, "p")] != "none"
     texts = [(r["run_date"].day, r["severity"], r["message"]) for r in store.read("alert_log").collect()]
     assert any(d == 4 and s == "warn" and "p: drift on 3 of the last runs" in m for d, s, m in texts)
