@@ -43,6 +43,18 @@ def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def apart(df: DataFrame, reserved: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """df with those columns renamed that are called like an operator's own (in any case), and the way back."""
+    taken, own, back = {c.lower() for c in df.columns}, {n.lower() for n in reserved}, {}
+    for name in [c for c in df.columns if c.lower() in own]:
+        other = f"{name}_"
+        while other.lower() in taken | own:
+            other += "_"
+        taken.add(other.lower())
+        back[other] = name
+    return df.withColumnsRenamed({name: other for other, name in back.items()}), back
+
+
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from batchgauge.llm.common import stored
+from batchgauge.llm.common import apart, stored
 
 RATE = 0.05
 MIN_CHARS = 40
@@ -135,7 +135,10 @@ def marked(
     No row is dropped; a clean document has an empty array. An input column `hits` is replaced.
     """
     spark = docs.sparkSession
-    names = [c for c in (docs.columns if columns is None else columns) if c != "hits"]
+    wanted = docs.columns if columns is None else columns
+    docs, back = apart(docs, ("__hits",))
+    own = {name: other for other, name in back.items()}
+    names = [own.get(c, c) for c in wanted if c != "hits"]
     fields = {f.name: f for f in docs.schema.fields}
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     size = items.agg(F.sum(F.length("text") + 16)).first()[0] or 0
@@ -147,7 +150,7 @@ def marked(
             out = stored(out, "decontaminate", texts=True)
         block = [(r["item_id"], plain(r["text"])) for r in items.filter(part == k).collect()]
         out = _search(out, spark.sparkContext.broadcast(sorted(block, key=str)), rate, min_chars)
-    return out.select(*[F.col(f"`{n}`") for n in fields if n in names], F.col("__hits").alias("hits"))
+    return out.select(*[F.col(f"`{n}`") for n in fields if n in names], F.col("__hits").alias("hits")).withColumnsRenamed(back)
 
 
 def _search(docs: DataFrame, block, rate: float, min_chars: int) -> DataFrame:

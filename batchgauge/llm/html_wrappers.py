@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from batchgauge.llm.common import BROADCAST_BYTES, stored
+from batchgauge.llm.common import BROADCAST_BYTES, apart, stored
 
 DEPTH = 100
 #: Cells of an alignment that is searched whole, and ends that are tried for a repeated group.
@@ -564,7 +564,10 @@ def _bounded(made: DataFrame) -> DataFrame:
 
 def main_texts(pages: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """`columns` (default: all but html) of every page plus text and n_chars. Columns of those names are replaced."""
-    names = [c for c in ([c for c in pages.columns if c != "html"] if columns is None else columns) if c not in ("text", "n_chars")]
+    wanted = [c for c in pages.columns if c != "html"] if columns is None else columns
+    pages, back = apart(pages, ("__host", "__wrapper", "__constants"))
+    own = {name: other for other, name in back.items()}
+    names = [own.get(c, c) for c in wanted if c not in ("text", "n_chars")]
     fields = {f.name: f for f in pages.schema.fields}
     schema = StructType([fields[n] for n in names] + [StructField("text", StringType()), StructField("n_chars", LongType())])
     made = _bounded(stored(templates(pages), "templates")).toDF("__host", "__wrapper", "__constants")
@@ -586,4 +589,4 @@ def main_texts(pages: DataFrame, columns: list[str] | None = None) -> DataFrame:
             })
 
     keyed = pages.select(*dict.fromkeys([*names, "html"]), host_of().alias("__host"))
-    return keyed.join(made, "__host", "left").drop("__host").mapInArrow(run, schema)
+    return keyed.join(made, "__host", "left").drop("__host").mapInArrow(run, schema).withColumnsRenamed(back)

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import heapq
 import re
-import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -39,15 +38,17 @@ HASHED = 1 << 16
 LEXICON_COUNT = 3
 LEXICON_WORDS = 20_000
 BLOCK_CHARS = 3_000_000
-#: Signs that count as word characters but are no letters: fractions, raised digits, Roman numerals.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+WORD = re.compile(r"[^\W\d_]+")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _SEED = 0x27D4EB2F165667C5
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """The runs of letters. Fractions, raised digits and Roman numerals count as word characters but are none."""
+    found = WORD.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def _word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from batchgauge.llm.common import BROADCAST_BYTES, stored
+from batchgauge.llm.common import BROADCAST_BYTES, apart, stored
 from batchgauge.llm.frequent import demoted, frequent_grams, gram_hashes
 from batchgauge.llm.spans import Spans, encoded, text_blocks
 
@@ -396,7 +396,10 @@ def remove_repeats(
     Columns of the input with those three names are replaced. A text without removed words
     is unchanged, a null text stays null. No row is dropped.
     """
-    names = [c for c in (docs.columns if columns is None else columns) if c not in ADDED]
+    wanted = docs.columns if columns is None else columns
+    docs, back = apart(docs, ("__doc", "__tie", "__words", "__untils"))
+    own = {name: other for other, name in back.items()}
+    names = [own.get(c, c) for c in wanted if c not in ADDED]
     fields = {f.name: f for f in docs.schema.fields}
     schema = StructType(
         [fields[n] for n in names]
@@ -408,4 +411,4 @@ def remove_repeats(
     size = marks.agg(F.sum(F.size("__words") * 8 + 64)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         marks = F.broadcast(marks)
-    return keyed.join(marks, ["__doc", "__tie"], "left").drop("__doc", "__tie").mapInArrow(_cut(names), schema)
+    return keyed.join(marks, ["__doc", "__tie"], "left").drop("__doc", "__tie").mapInArrow(_cut(names), schema).withColumnsRenamed(back)

@@ -108,11 +108,11 @@ def test_stages_on_empty_tables_and_odd_rows(spark, folder, stage):
     words = " ".join(f"word{i}" for i in range(60))
     odd = [(1, words, "en", "a"), (1, words, "en", "a"), (None, None, None, None), (2, None, "en", None), (3, "", None, "a"), (None, "plain words", "en", "a"),
            (4, "x" * 300_000 + " y", "en", "a"), (5, "letters here", "en", "a")]
-    docs = table(spark, odd).withColumns({"__doc": F.lit(1), "hits": F.lit("h"), "component_id": F.lit(2), "lang_pred": F.lit("?"), "n_words": F.lit(3)})
+    docs = table(spark, odd).withColumns({"__doc": F.lit(1), "__HITS": F.lit(4), "__words": F.lit("w"), "hits": F.lit("h"), "component_id": F.lit(2), "lang_pred": F.lit("?"), "n_words": F.lit(3)})
     got = stage(spark, docs, path)
     assert got.columns == docs.columns and got.dtypes == docs.dtypes
     rows = got.collect()
-    assert {5, 4} <= {r["doc_id"] for r in rows} and all(r["hits"] == "h" and r["n_words"] == 3 for r in rows)
+    assert {5, 4} <= {r["doc_id"] for r in rows} and all(r["hits"] == "h" and r["n_words"] == 3 and r["__HITS"] == 4 and r["__words"] == "w" for r in rows)
 
 
 def test_mix_stage(spark, folder):
@@ -186,7 +186,7 @@ def test_pipeline_against_brute_force(spark, folder, tmp_path):
     for s, w in zip("abc", (1, 2, 3)):
         taken = sum(r["taken"] for i, r in got.items() if source[i] == s)
         assert abs(taken - level * w) <= max(sizes.values())
-        assert {r["target"] for i, r in got.items() if source[i] == s} == {pytest.approx(level * w)}
+        assert all(r["target"] == pytest.approx(level * w) for i, r in got.items() if source[i] == s)
 
 
 # --- contracts of single operators ---
@@ -321,3 +321,17 @@ def test_licence_cosines_against_plain_vectors(spark):
         if round(cosines[best], 6) >= 0.1:
             want[i] = (best, pytest.approx(cosines[best], abs=2e-6))
     assert got == want and len(got) > 3
+
+
+def test_columns_called_like_an_operators_own(spark):
+    from batchgauge.llm import decontaminate, html_wrappers, substring_dedup
+
+    docs = table(spark, [(1, "some words", "en", "a")]).withColumns({c: F.lit(c) for c in ("__doc", "__TIE", "__untils", "__hits", "__doc_")})
+    row = substring_dedup.remove_repeats(docs).first()
+    assert [row[c] for c in ("__doc", "__TIE", "__untils", "__doc_")] == ["__doc", "__TIE", "__untils", "__doc_"] and row["n_words"] == 2
+    bench = spark.createDataFrame([(3, "some words")], "item_id long, text string")
+    row = decontaminate.marked(docs, bench).first()
+    assert row["__hits"] == "__hits" and row["hits"][0]["item_id"] == 3
+    pages = spark.createDataFrame([(1, "http://a/b", "<p>x")], "page_id long, url string, html string").withColumns({"__host": F.lit(1), "__constants": F.lit("c")})
+    row = html_wrappers.main_texts(pages).first()
+    assert (row["__host"], row["__constants"], row["text"]) == (1, "c", "x")
