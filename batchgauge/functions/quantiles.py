@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from batchgauge.functions.columns import col, per_column, present
+from batchgauge.functions.ranges import ROWS_PER_RANGE, running_sums
+from batchgauge.session import written
 
 _MERGE_GROUPS = 64
 _BROADCAST_ROWS = 100_000
@@ -91,31 +93,33 @@ def exact_quantiles(
     by: Sequence[str] = (),
     by_groups: int = 1,
     cells: int | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """by…, column, n, quantiles, below of numeric columns; missing values aside.
 
     Quantiles are linearly interpolated; ``below`` counts the values smaller than each.
-    ``by_groups`` is the known number of ``by`` groups: it bounds the cells that hold
-    a wanted rank, which are broadcast while they stay under 100,000. The data are read
-    three times and shuffled never, but for the values in those cells.
+    The cells that hold a wanted rank are broadcast while there are fewer than 100,000. The data are read
+    three times and shuffled never, but for the values in those cells; a cell of more than
+    ``rows_per_range`` values is cut again, in as many ranges as it needs. ``by_groups`` is not needed any more.
     """
     columns = list(columns)
     found = cut_points(df, columns, cells)
     keys = [*by, "idx"]
     values = exploded(df, columns, by).filter(F.col("value").isNotNull())
     placed = with_cell(values, [found.get(c, []) for c in columns], F.col("idx"))
-    wanted = cells_of_quantiles(placed.groupBy(*keys, "cell").agg(F.count("*").alias("n")), probs, keys)
-    if 2 * len(probs) * len(columns) * by_groups <= _BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    wanted = written(cells_of_quantiles(placed.groupBy(*keys, "cell").agg(F.count("*").alias("n")), probs, keys), "wanted-cells")
+    # Collected: how many cells are wanted, and the values in the fullest.
+    many, fullest = wanted.agg(F.count("*"), F.coalesce(F.max("held"), F.lit(0))).first()
+    wanted = wanted.drop("held")
     counted = (
-        placed.join(wanted, [*keys, "cell"])
+        placed.join(F.broadcast(wanted) if many <= _BROADCAST_ROWS else wanted, [*keys, "cell"])
         .groupBy(*keys, "cell", "value", "total", "before").agg(F.count("*").alias("n"))
     )
-    return quantiles_in_cells(counted, probs, keys, columns)
+    return quantiles_in_cells(counted, probs, keys, columns, fullest, rows_per_range)
 
 
 def cells_of_quantiles(counts: DataFrame, probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
-    """From (keys…, cell, n): the cells that hold a wanted rank, with the values in all cells and in those below."""
+    """From (keys…, cell, n): the cells that hold a wanted rank, with the values in all cells, in those below, and ``held`` in them."""
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     asked = double_array(probs)
@@ -126,19 +130,27 @@ def cells_of_quantiles(counts: DataFrame, probs: Sequence[float], keys: Sequence
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
         )
         .filter(F.size(_within(_wanted_ranks(asked, F.col("total")), F.col("before"), F.col("n"))) > 0)
-        .drop("n")
+        .withColumnRenamed("n", "held")
     )
 
 
 def quantiles_in_cells(
-    counted: DataFrame, probs: Sequence[float], keys: Sequence[str], columns: Sequence[str]
+    counted: DataFrame, probs: Sequence[float], keys: Sequence[str], columns: Sequence[str], fullest: int,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """From (keys…, cell, value, total, before, n) of the wanted cells: keys but idx…, column, n, quantiles, below."""
+    """From (keys…, cell, value, total, before, n) of the wanted cells: keys but idx…, column, n, quantiles, below.
+
+    ``fullest`` bounds the values in a cell: up to ``rows_per_range`` a cell is ranked by one task.
+    """
     asked = double_array(probs)
-    in_cell = Window.partitionBy(*keys, "cell").orderBy("value")
-    start = F.col("before") + F.coalesce(
-        F.sum("n").over(in_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
+    if fullest <= rows_per_range:
+        in_cell = Window.partitionBy(*keys, "cell").orderBy("value")
+        start = F.col("before") + F.coalesce(
+            F.sum("n").over(in_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        )
+    else:
+        counted = running_sums(written(counted, "cell-values"), ["value"], ["n"], [*keys, "cell"], rows_per_range, "cell-ranges")
+        start = F.col("before") + F.col("n_upto") - F.col("n")
     picked = (
         counted.withColumn("start", start)
         .withColumn("ranks", _within(_wanted_ranks(asked, F.col("total")), F.col("start"), F.col("n")))

@@ -31,6 +31,7 @@ def alert_messages(report: DataFrame, channel: str = "") -> DataFrame:
         .groupBy("project_id", "run_date")
         .agg(lines.alias("lines"), F.count("*").alias("n_failed"))
     )
+    # Fixed value: the heading of a message.
     head = F.concat(
         F.lit("Monitoring alerts for **"), F.col("project_id"), F.lit("** on `"),
         F.col("run_date").cast("string"), F.lit("`:"),

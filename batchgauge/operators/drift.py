@@ -264,6 +264,8 @@ def rolling_profiles(
     daily = written(placed.groupBy("run_date", "idx", "cell").agg(F.count("*").alias("n")), "daily-cells")
     sums = daily.withColumn("target", F.explode(windows)).groupBy(*keys, "cell").agg(F.sum("n").alias("n"))
     wanted = written(cells_of_quantiles(sums, asked, keys), "wanted-cells")
+    fullest = wanted.agg(F.coalesce(F.max("held"), F.lit(0))).first()[0]
+    wanted = wanted.drop("held")
     cells = wanted.select("idx", "cell").distinct()
     if cells.count() <= BROADCAST_PROFILES:
         cells = F.broadcast(cells)
@@ -276,7 +278,7 @@ def rolling_profiles(
         seen.withColumn("target", F.explode(windows)).groupBy(*keys, "cell", "value").agg(F.sum("n").alias("n"))
         .join(wanted, [*keys, "cell"])
     )
-    return _with_bins(quantiles_in_cells(counted, asked, keys, columns)).withColumnRenamed("target", "run_date")
+    return _with_bins(quantiles_in_cells(counted, asked, keys, columns, fullest)).withColumnRenamed("target", "run_date")
 
 
 def rolling_drift(

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from batchgauge.functions.quantiles import exact_quantiles
 from batchgauge.functions.ranges import in_ranges, positioned, range_count, running_sums
 from batchgauge.operators import metrics, sampling, views
 from batchgauge.session import written
@@ -70,3 +71,16 @@ def test_limits_narrow_before_they_rank(spark, monkeypatch):
     df = spark.range(60_000).select((F.col("id") % 5).cast("string").alias("t"), F.col("id").alias("v"))
     got = views.first_rows(df, 2000, ["t", "v"]).collect()
     assert [r["v"] for r in got] == list(range(0, 10_000, 5)) and seen["rows"] < 8000
+
+
+def test_quantiles_whose_cells_are_cut_again(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(g), float(v), float(v) ** 2) for g, v in zip(rng.integers(0, 2, 900), np.round(rng.normal(0, 9, 900), 1))]
+    df = spark.createDataFrame(rows, "g int, x double, y double").repartition(5)
+    probs = [0.1, 0.25, 0.5, 0.77]
+    got = {(r["g"], r["column"]): r for r in exact_quantiles(df, ["x", "y"], probs, ["g"], cells=3, rows_per_range=10).collect()}
+    assert len(got) == 4
+    for (g, column), r in got.items():
+        own = np.array([x if column == "x" else y for k, x, y in rows if k == g])
+        assert r["quantiles"] == pytest.approx(np.quantile(own, probs).tolist(), abs=1e-9)
+        assert r["below"] == [int((own < q).sum()) for q in r["quantiles"]] and r["n"] == len(own)
