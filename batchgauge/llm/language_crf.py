@@ -37,7 +37,7 @@ STEPS = 30
 HASHED = 1 << 16
 LEXICON_COUNT = 3
 LEXICON_WORDS = 20_000
-BLOCK_CHARS = 3_000_000
+BLOCK_CHARS = 1_000_000
 WORD = re.compile(r"[^\W\d_]+")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _SEED = 0x27D4EB2F165667C5
