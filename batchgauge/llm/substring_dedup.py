@@ -11,7 +11,9 @@ buckets are counted, without their text; then the documents with a bucket that o
 twice send their super-k-mers of those buckets. Copies within a block of documents are
 found before the shuffle in either step: only the first of equal super-k-mers travels, and
 the others are already known to be repeats. A passage that a third of all documents share
-thus sends one string per block, not one per document.
+thus sends one string per block, not one per document. A long super-k-mer, such as one word
+said again and again, travels in pieces. A task judges a bounded number of windows at once;
+of a bucket that holds more, the first of equal windows of each part go on for Spark to sort.
 
 Defined results: null or empty text has no words. Rows are told apart by (doc_id, text);
 rows equal in both count as one document and get the same result. Rows with one doc_id and
@@ -26,16 +28,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from batchgauge.llm.common import BROADCAST_BYTES, apart, stored
 from batchgauge.llm.frequent import demoted, frequent_grams, gram_hashes
-from batchgauge.llm.spans import Spans, encoded, text_blocks
+from batchgauge.llm.spans import Spans, blocks, text_blocks
 
 WINDOW = 20
 GRAM = 5
-GROUP_BYTES = 48_000_000
+#: What a task judges at once: the bytes of packed strings, and WINDOW_BYTES for each of their windows.
+GROUP_BYTES = 24_000_000
+WINDOW_BYTES = 16
+#: Windows of a packed string: a longer super-k-mer is cut into pieces.
+PIECE = 512
+#: Windows that are compared or sent in one go, and bytes of packed strings that are hashed in one go.
+STEP = 20_000
+STEP_BYTES = 500_000
 LAST_ID = (1 << 63) - 1
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 ADDED = ("n_words", "n_removed", "kept_sha256")
@@ -150,6 +160,13 @@ def _repeated_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.record_batch({n: held[n][keep] for n in ("doc", "tie", "word")})
 
 
+def _pieces(pick: np.ndarray, word: np.ndarray, windows: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Super-k-mers cut into pieces of at most `most` windows, in order: number, first word and windows of each."""
+    n = -(-windows // most)
+    at = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * most
+    return np.repeat(pick, n), np.repeat(word, n) + at, np.minimum(np.repeat(windows, n) - at, most)
+
+
 PACKED = "bucket long, doc long, tie long, word int, until int, packed binary"
 
 
@@ -169,8 +186,9 @@ def _packed(window: int, gram: int, frequent):
                 stride = int(spans.counts.max(initial=0)) + 1
                 asked = np.concatenate([np.array(wanted[i], dtype=np.int64) + d * stride for d, i in enumerate(fresh)]) if len(fresh) else np.zeros(0, np.int64)
                 pick = np.flatnonzero(np.isin(sk.doc * stride + sk.word, asked))
-                first = spans.first[sk.doc[pick]] + sk.word[pick]
-                last = first + sk.windows[pick] + window - 2
+                pick, word, windows = _pieces(pick, sk.word[pick], sk.windows[pick], max(PIECE, window))
+                first = spans.first[sk.doc[pick]] + word
+                last = first + windows + window - 2
                 starts, ends = spans.start[first].tolist(), spans.end[last].tolist()
                 data, seen, strings, travels = spans.data, set(), [], np.ones(len(pick), bool)
                 for i, (s, e) in enumerate(zip(starts, ends)):
@@ -183,9 +201,9 @@ def _packed(window: int, gram: int, frequent):
                         strings.append(string)
                 d = doc[sk.doc[pick]]
                 yield pa.record_batch({
-                    "bucket": np.where(travels, sk.key[pick], d * 31 + sk.word[pick]),
-                    "doc": d, "tie": tie[sk.doc[pick]], "word": sk.word[pick].astype(np.int32),
-                    "until": (sk.word[pick] + sk.windows[pick] + window - 1).astype(np.int32),
+                    "bucket": np.where(travels, sk.key[pick], d * 31 + word),
+                    "doc": d, "tie": tie[sk.doc[pick]], "word": word.astype(np.int32),
+                    "until": (word + windows + window - 1).astype(np.int32),
                     "packed": pa.array(strings, pa.binary()),
                 })
 
@@ -195,71 +213,86 @@ def _packed(window: int, gram: int, frequent):
 MARKS = "doc long, tie long, word int, until int, window binary"
 
 
-def _judge(rows: pa.Table, window: int) -> pa.RecordBatch:
-    """Repeats among whole buckets: sort all windows of all buckets, compare neighbours, check the words."""
+def _windows(packed: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+    """Of every window of packed strings: its hash, string, place in words, and first and last byte in its string."""
+    parts = []
+    for a, b in blocks(len(packed), np.array([len(x) for x in packed]), STEP_BYTES):
+        spans = Spans(packed[a:b])
+        n = np.maximum(spans.counts - window + 1, 0)
+        row = np.repeat(np.arange(b - a), n)
+        shift = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        first = spans.first[row] + shift
+        base = spans.start[spans.first[row]]
+        ints = (a + row, shift, spans.start[first] - base, spans.end[first + window - 1] - base)
+        parts.append((spans.hashes(first, first + window - 1), *(x.astype(np.int32) for x in ints)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _judge(rows: pa.Table, window: int, large: int | None) -> Iterator[pa.RecordBatch]:
+    """Repeats among whole buckets: sort all windows of all buckets, compare neighbours, check the words.
+
+    Of the bucket `large` these rows are a part: windows that repeat none of them go on one by one.
+    """
     bucket, doc, tie, word = (rows.column(i).to_numpy() for i in range(4))
-    packed = rows.column("packed").to_pylist()
     order = np.lexsort((word, tie, doc, bucket))
     # a row that is repeated in other blocks sends its super-k-mers again: they are one document's
     again = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in (bucket, doc, tie, word)])
     order = order[np.concatenate(([True], ~again))]
-    spans = Spans([packed[i] for i in order])
+    packed = rows.column("packed").to_pylist()
+    packed = [packed[i] for i in order]
     bucket, doc, tie, word = bucket[order], doc[order], tie[order], word[order]
-    windows = spans.counts - window + 1
-    row = np.repeat(np.arange(len(windows)), windows)
-    shift = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    first = spans.first[row] + shift
-    value = spans.hashes(first, first + window - 1)
-    group = np.cumsum(np.concatenate(([True], bucket[1:] != bucket[:-1])))[row]
+    value, row, shift, lo, hi = _windows(packed, window)
+    group = np.cumsum(np.concatenate(([True], bucket[1:] != bucket[:-1])), dtype=np.int32)[row]
     by = np.lexsort((value, group))  # stable: the earliest of equal windows stays first
     same = (group[by][1:] == group[by][:-1]) & (value[by][1:] == value[by][:-1])
+    del group, value
+    said = lambda i: packed[row[i]][lo[i] : hi[i]]
     repeat = np.zeros(len(row), bool)
     spots = np.flatnonzero(same)  # equal hashes are checked by their words, each against the one before
-    lo, hi, data = spans.start[first], spans.end[first + window - 1], spans.data
-    pairs = zip(lo[by[spots]].tolist(), hi[by[spots]].tolist(), lo[by[spots + 1]].tolist(), hi[by[spots + 1]].tolist())
-    equal = np.array([data[a:b] == data[c:d] for a, b, c, d in pairs], dtype=bool)
-    repeat[by[spots[equal] + 1]] = True
-    for spot in spots[~equal]:  # other words of the same hash: look further back among its equals
+    unlike = []
+    for at in range(0, len(spots), STEP):
+        some = spots[at : at + STEP]
+        before, after = ([x[i].tolist() for x in (row, lo, hi)] for i in (by[some], by[some + 1]))
+        pairs = zip(*before, *after)
+        equal = np.array([packed[r][a:b] == packed[q][c:d] for r, a, b, q, c, d in pairs], dtype=bool)
+        repeat[by[some[equal] + 1]] = True
+        unlike.extend(some[~equal].tolist())
+    for spot in unlike:  # other words of the same hash: look further back among its equals
         lead, here = spot, by[spot + 1]
         while lead > 0 and same[lead - 1] and not repeat[here]:
             lead -= 1
-            repeat[here] = data[lo[by[lead]] : hi[by[lead]]] == data[lo[here] : hi[here]]
+            repeat[here] = said(by[lead]) == said(here)
     hit = np.flatnonzero(repeat)
     start = word[row[hit]] + shift[hit]
     # runs of neighbouring windows of one string are one interval
     new = np.concatenate(([True], (row[hit][1:] != row[hit][:-1]) | (start[1:] != start[:-1] + 1))) if len(hit) else np.zeros(0, bool)
     a = np.flatnonzero(new)
     b = np.concatenate((a[1:], [len(hit)])) - 1 if len(a) else a
-    return pa.record_batch({
+    yield pa.record_batch({
         "doc": doc[row[hit[a]]], "tie": tie[row[hit[a]]], "word": start[a].astype(np.int32),
         "until": (start[b] + window).astype(np.int32), "window": pa.nulls(len(a), pa.binary()),
     })
+    if large is None:
+        return
+    loose = np.flatnonzero(~repeat & (bucket == large)[row])
+    for at in range(0, len(loose), STEP):
+        some = loose[at : at + STEP]
+        start = (word[row[some]] + shift[some]).astype(np.int32)
+        yield pa.record_batch({
+            "doc": doc[row[some]], "tie": tie[row[some]], "word": start, "until": start + np.int32(window),
+            "window": pa.array([said(i) for i in some.tolist()], pa.binary()),
+        })
 
 
 def _bucket_marks(window: int, group_bytes: int):
     """From rows sorted by bucket: intervals of repeated words.
 
-    Whole buckets are judged together. A bucket beyond `group_bytes` is not held: its windows
-    go on one by one, for Spark to sort.
+    Whole buckets are judged together. A bucket beyond `group_bytes` is not held: it is judged
+    in parts, and the windows that are new to their part go on one by one, for Spark to sort.
     """
 
-    def loose(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        for part in rows.to_batches(max_chunksize=2_000):
-            spans = Spans(part.column(5).to_pylist())
-            windows = spans.counts - window + 1
-            row = np.repeat(np.arange(len(windows)), windows)
-            shift = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-            start = part.column(3).to_numpy()[row] + shift
-            first = spans.first[row] + shift
-            yield pa.record_batch({
-                "doc": part.column(1).to_numpy()[row], "tie": part.column(2).to_numpy()[row],
-                "word": start.astype(np.int32), "until": (start + window).astype(np.int32),
-                "window": pa.array([spans.slice(f, f + window - 1) for f in first], pa.binary()),
-            })
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        held_bytes, large = 0, None
+        held, held_cost, large = None, 0, None  # the last bucket so far; the one of which a part was judged
         for batch in batches:
             table = pa.Table.from_batches([batch])
             marks = table.filter(table.column("packed").is_null())
@@ -267,33 +300,25 @@ def _bucket_marks(window: int, group_bytes: int):
                 yield from marks.select(["doc", "tie", "word", "until"]).append_column(
                     "window", pa.nulls(marks.num_rows, pa.binary())).to_batches()
             table = table.filter(table.column("packed").is_valid())
-            if not table.num_rows:
-                continue
-            bucket = table.column("bucket").to_numpy()
-            if large is not None:
-                more = int(np.searchsorted(bucket != large, True))
-                yield from loose(table.slice(0, more))
-                if more < table.num_rows:
-                    large = None
-                table, bucket = table.slice(more), bucket[more:]
-                if not table.num_rows:
-                    continue
-            cut = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1 if (bucket != bucket[-1]).any() else 0
-            if held and cut == 0 and held[-1].column("bucket")[-1].as_py() != bucket[-1]:
-                yield _judge(pa.concat_tables(held), window)
-                held, held_bytes = [], 0
-            elif cut:
-                yield _judge(pa.concat_tables([*held, table.slice(0, cut)]), window)
-                held, held_bytes = [], 0
-            rest = table.slice(cut)
-            held.append(rest)
-            held_bytes += sum(len(x) for x in rest.column("packed").to_pylist())
-            if held_bytes > group_bytes:
-                large = bucket[-1]
-                yield from loose(pa.concat_tables(held))
-                held, held_bytes = [], 0
-        if held:
-            yield _judge(pa.concat_tables(held), window)
+            windows = table.column("until").to_numpy().astype(np.int64) - table.column("word").to_numpy() - window + 1
+            cost = pc.binary_length(table.column("packed")).to_numpy() + WINDOW_BYTES * windows
+            for a, b in blocks(table.num_rows, cost, group_bytes):
+                part = table.slice(a, b - a)
+                known = 0 if held is None else held.num_rows
+                rows = part if held is None else pa.concat_tables([held, part])
+                bucket = rows.column("bucket").to_numpy()
+                other = np.flatnonzero(bucket != bucket[-1])
+                cut = int(other[-1]) + 1 if len(other) else 0
+                if cut:  # what is held is of one bucket: the last one begins in this part
+                    yield from _judge(rows.slice(0, cut), window, large)
+                    large, held_cost = None, 0
+                held, held_cost = rows.slice(cut), held_cost + int(cost[a + max(0, cut - known) : b].sum())
+                if held_cost > group_bytes:
+                    large = bucket[-1]
+                    yield from _judge(held, window, large)
+                    held, held_cost = None, 0
+        if held is not None:
+            yield from _judge(held, window, large)
 
     return run
 
@@ -318,8 +343,8 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     )
     marks = stored(marks, "repeats", texts=True)
     loose = marks.filter("window is not null")
-    first = loose.groupBy("window").agg(F.min(F.struct("doc", "tie", "word")).alias("first"))
-    late = loose.join(first, "window").filter(F.struct("doc", "tie", "word") != F.col("first"))
+    place = F.struct("doc", "tie", "word")
+    late = loose.withColumn("first", F.min(place).over(Window.partitionBy("window"))).filter(place != F.col("first"))
     both = marks.filter("window is null").select("doc", "tie", "word", "until").unionByName(
         late.select("doc", "tie", "word", "until")
     )
@@ -354,11 +379,10 @@ def _cut(names: list[str]):
     """Remove the marked words of every row; the white space before a removed word goes with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, texts in (block for whole in batches for block in text_blocks(whole)):
             get = lambda n: batch.column(batch.schema.get_field_index(n))
             n_words, n_removed, digest, kept_text = [], [], [], []
-            for text, starts, ends in zip(get("text").to_pylist(), get("__words").to_pylist(), get("__untils").to_pylist()):
-                raw = encoded(text)
+            for raw, text, starts, ends in zip(texts, *(get(n).to_pylist() for n in ("text", "__words", "__untils"))):
                 words = raw.split()
                 total = len(words)
                 if starts:

@@ -2,9 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +82,65 @@ def test_substring_dedup_of_rows_repeated_in_other_blocks(spark):
     assert substring_dedup.remove_repeats(many).filter("n_removed > 0").count() == 0
 
 
+def removed_words(texts):
+    """By brute force: the words of each text that a window which starts earlier covers."""
+    seen, removed = set(), []
+    for text in texts:
+        w = text.split()
+        gone = set()
+        for k in range(len(w) - 19):
+            window = tuple(w[k : k + 20])
+            if window in seen:
+                gone.update(range(k, k + 20))
+            seen.add(window)
+        removed.append(len(gone))
+    return removed
+
+
+def test_substring_dedup_of_one_word_and_of_buckets_in_parts(spark):
+    rng = random.Random(8)
+    texts = ["said " * rng.randint(900, 1500) + f"end{i}" for i in range(40)]
+    two = [" ".join(rng.choices(["ab", "cd"], k=200)) for _ in range(40)]
+    texts += two + [f"{a} {b[:300]}" for a, b in zip(two, two[7:])]
+    docs = table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).repartition(3)
+    for size in (substring_dedup.GROUP_BYTES, 20_000):
+        got = substring_dedup.remove_repeats(docs, group_bytes=size, columns=["doc_id"]).orderBy("doc_id").collect()
+        assert [r["n_removed"] for r in got] == removed_words(texts)
+
+
+def test_substring_dedup_judges_in_bounded_memory():
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(5000)]
+
+    def one_bucket(texts):
+        for at in range(0, len(texts), 2000):
+            some = texts[at : at + 2000]
+            yield pa.record_batch({
+                "bucket": pa.array([7] * len(some), pa.int64()), "doc": pa.array(range(at, at + len(some)), pa.int64()),
+                "tie": pa.array([0] * len(some), pa.int64()), "word": pa.array([0] * len(some), pa.int32()),
+                "until": pa.array([len(t.split()) for t in some], pa.int32()),
+                "packed": pa.array([t.encode() for t in some], pa.binary()),
+            })
+
+    def one_word():
+        texts = ["said " * n for n in range(4000, 4060)]
+        batch = pa.record_batch({
+            "doc": pa.array(range(60), pa.int64()), "tie": pa.array([0] * 60, pa.int64()),
+            "text": texts, "words": pa.array([[0]] * 60, pa.list_(pa.int64())),
+        })
+        return substring_dedup._packed(20, 5, SimpleNamespace(value=np.zeros(0, np.uint64)))(iter([batch]))
+
+    hot = [" ".join(rng.choices(words, k=35)) for _ in range(25_000)]
+    for rows, megabytes in ((list(one_word()), 20), (list(one_bucket(hot)), 80)):
+        judge = substring_dedup._bucket_marks(20, substring_dedup.GROUP_BYTES)
+        tracemalloc.start()
+        for _ in judge(iter(rows)):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < megabytes * 1_000_000
+
+
 def test_near_duplicates(spark, corpus):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(table(spark, corpus)).collect()}
     sets = {}
