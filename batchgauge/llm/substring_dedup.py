@@ -38,7 +38,8 @@ from batchgauge.llm.spans import Spans, blocks, text_blocks
 
 WINDOW = 20
 GRAM = 5
-#: What a task judges at once: the bytes of packed strings, and WINDOW_BYTES for each of their windows.
+#: What a task holds of a bucket, and takes of a batch at a time (twice this is judged at once, at most): the bytes of
+#: packed strings, and WINDOW_BYTES for each of their windows.
 GROUP_BYTES = 24_000_000
 WINDOW_BYTES = 16
 #: Windows of a packed string: a longer super-k-mer is cut into pieces.
