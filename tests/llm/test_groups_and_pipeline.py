@@ -1,6 +1,8 @@
 """Near-duplicate groups at small bounds, and every stage of the pipeline, against brute force; nulls, empty tables, repeats, extra columns."""
 
+import glob
 import random
+import time
 import zlib
 
 import numpy as np
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from batchgauge.llm import chat_format, importance, jaccard_join, language_crf
+from batchgauge.llm.common import dropped, stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -335,3 +338,25 @@ def test_columns_called_like_an_operators_own(spark):
     pages = spark.createDataFrame([(1, "http://a/b", "<p>x")], "page_id long, url string, html string").withColumns({"__host": F.lit(1), "__constants": F.lit("c")})
     row = html_wrappers.main_texts(pages).first()
     assert (row["__host"], row["__constants"], row["text"]) == (1, "c", "x")
+
+
+# --- scratch space ---
+
+
+def shuffle_files(spark):
+    jvm = spark._jvm
+    held = [str(p) for p in jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return {f for top in held for f in glob.glob(f"{top}/*/shuffle_*.data")}
+
+
+def test_a_scratch_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    rows = stored(spark.range(5000).withColumn("k", F.col("id") % 7).repartition(3, "id").groupBy("k").count(), "released")
+    for _ in range(100):  # they are removed in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert sorted(map(tuple, rows.collect())) == [(k, 5000 // 7 + (k < 5000 % 7)) for k in range(7)]
+    dropped(rows)
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/batchgauge-released-*")
