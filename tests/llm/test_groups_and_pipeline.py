@@ -360,3 +360,28 @@ def test_a_scratch_table_leaves_no_shuffle_files(spark):
     assert sorted(map(tuple, rows.collect())) == [(k, 5000 // 7 + (k < 5000 % 7)) for k in range(7)]
     dropped(rows)
     assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/batchgauge-released-*")
+
+
+def test_groups_in_passes_keep_no_large_scratch(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    passage = " ".join(rng.choices(words, k=60))
+    rows = list(enumerate(
+        family(rng, words, 70, 50, 9)
+        + [passage + " " + " ".join(f"own{i}-{k}" for k in range(rng.randint(3, 40))) for i in range(40)]
+        + [" ".join(rng.choices(words, k=rng.randint(1, 90))) for _ in range(30)]
+    ))
+    for dense in (3, 10**6):  # by blocks, and as rows
+        monkeypatch.setattr(jaccard_join, "DENSE", dense)
+        monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 2000)
+        monkeypatch.setattr(jaccard_join, "PASS_PAIRS", 4)
+        monkeypatch.setattr(jaccard_join, "PASS_SHARE", 0.4)
+        passes, sized = {}, jaccard_join._in_passes
+        monkeypatch.setattr(jaccard_join, "_in_passes", lambda n, key, label, made: passes.update({label: n}) or sized(n, key, label, made))
+        seen = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/*"))
+        got = sorted(map(tuple, jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()), key=str)
+        monkeypatch.undo()
+        assert got == brute_groups(rows)
+        assert passes["dense-pairs" if dense == 3 else "pairs"] > 1
+        left = " ".join(set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/*")) - seen)
+        assert not [n for n in ("sets", "postings", "links-texts", "last-links-texts", "rest", "whole-sets", "block-sides") if f"batchgauge-{n}-" in left]
